@@ -9,7 +9,7 @@
    statistic); matches of WINDOW bytes or more are marked. A context that occurs twice matches itself.
 3. Marks return to all occurrences and unite per document.
 
-Hot anchors, with more than HOT distinct contexts, are split by the hash of the part that all windows of a narrow range
+Hot anchors, with more than HOT places, are split by the hash of the part that all windows of a narrow range
 of starts have in common, so that groups shrink and nothing is lost.
 
 Defined cases: null is empty; a text below WINDOW bytes keeps all; rows that repeat an id share one document's marks, each
@@ -224,18 +224,22 @@ def _index_pass(window: int, gram: int, at_once: int):
     return run
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Both joins with texts take these very columns and rows, so that one exchange serves both."""
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body")).where("doc is not null")
+
+
 def repeated_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT, ranges: int = RANGES, at_once: int = AT_ONCE) -> DataFrame:
     """(doc, marks): for each document with repeats, pairs of first and last start of repeated windows, flattened."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc is not null and octet_length(text) >= " + str(window))
-    found = texts.mapInArrow(_anchor_pass(window, gram), "h long, ch long, doc long, pos long")
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    texts = _texts(docs, id_col, text_col)
+    found = texts.where(F.octet_length("body") >= window).mapInArrow(_anchor_pass(window, gram), "h long, ch long, doc long, pos long").where("h is not null and ch is not null and doc is not null")  # stated, so that all uses have one plan
+    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     kept = found.join(often, "h")
-    distinct = kept.groupBy("h", "ch").agg(F.count("*").alias("cnt"), F.min(F.struct("doc", "pos")).alias("at"))
-    hots = distinct.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > hot).select("h", F.lit(True).alias("hot"))
-    places = distinct.join(hots, "h", "left").select(F.col("at.doc").alias("doc"), F.struct("h", "ch", F.col("at.pos").alias("pos"), "cnt", F.coalesce("hot", F.lit(False)).alias("hot")).alias("m"))
-    contexts = places.groupBy("doc").agg(F.collect_list("m").alias("marks")).join(texts, "doc").select("text", "marks").mapInArrow(_context_pass(window, gram, ranges), "g long, h long, ch long, twice boolean, pad int, c0 int, c1 int, bytes binary")
+    distinct = kept.groupBy("h", "ch").agg(F.count("*").alias("cnt"), F.min(F.struct("doc", "pos")).alias("at"), F.first("n").alias("n"))
+    places = distinct.select(F.col("at.doc").alias("doc"), F.struct("h", "ch", F.col("at.pos").alias("pos"), "cnt", (F.col("n") > hot).alias("hot")).alias("m"))
+    contexts = places.groupBy("doc").agg(F.collect_list("m").alias("marks")).join(texts, "doc").select("body", "marks").mapInArrow(_context_pass(window, gram, ranges), "g long, h long, ch long, twice boolean, pad int, c0 int, c1 int, bytes binary")
     index = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_index_pass(window, gram, at_once), "h long, ch long, starts array<int>")
-    marks = kept.join(index, ["h", "ch"]).select("doc", F.transform("starts", lambda x: x + F.col("pos").cast("int")).alias("starts"))
+    marks = kept.drop("n").join(index, ["h", "ch"]).select("doc", F.transform("starts", lambda x: x + F.col("pos").cast("int")).alias("starts"))
     return marks.groupBy("doc").agg(F.flatten(F.collect_list("starts")).alias("marks"))
 
 
@@ -289,8 +293,9 @@ def _finish(window: int, digest: bool):
 
 
 def _with_marks(docs: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(repeated_starts(docs, id_col=id_col, text_col=text_col, **options), "doc", "left").select("doc", "text", "marks")
+    named = _texts(docs, id_col, text_col).join(repeated_starts(docs, id_col=id_col, text_col=text_col, **options), "doc", "left").select("doc", "body", "marks")
+    unnamed = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"), F.lit(None).cast("array<int>").alias("marks"))
+    return named.unionByName(unnamed)
 
 
 def dedup_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
