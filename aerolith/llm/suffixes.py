@@ -102,16 +102,16 @@ def _context_pass(window: int, gram: int, ranges: int):
                     first, last = max(ds, at - reach + 1), min(de, at + window)
                     pad = reach - 1 - (at - first)
                     ctx = raw[first:last]
-                    rows = [(m["h"], 0, reach)]
+                    rows = [(m["h"], 0, reach, pad, ctx)]
                     if m["hot"]:
                         rows = []
-                        for a, b in spans:  # starts a .. b - 1: all of their windows hold [b - 1, a + window)
-                            if b - 1 >= pad and a + window <= pad + len(ctx) + (b - a):
-                                core = ctx[max(0, b - 1 - pad) : max(0, a + window - pad)]
-                                key = hashlib.blake2b(core, digest_size=8, key=a.to_bytes(2, "big")).digest()
-                                rows.append((m["h"] ^ int.from_bytes(key, "big", signed=True), a, b))
-                    for g, a, b in rows:
-                        for k, v in zip(out, (g, m["h"], m["ch"], m["cnt"] > 1, pad, a, b, ctx)):
+                        for a, b in spans:  # windows that start in [a, b) all hold [b - 1, a + window)
+                            if b - 1 >= pad and a + window <= pad + len(ctx):
+                                key = hashlib.blake2b(ctx[b - 1 - pad : a + window - pad], digest_size=8, key=a.to_bytes(2, "big")).digest()
+                                low = max(a, pad)  # rows of two ranges share less than a window, so a context never meets itself
+                                rows.append((m["h"] ^ int.from_bytes(key, "big", signed=True), a, b, low, ctx[low - pad : b - 1 + window - pad]))
+                    for g, a, b, low, part in rows:
+                        for k, v in zip(out, (g, m["h"], m["ch"], m["cnt"] > 1, low, a, b, part)):
                             k.append(v)
                 if len(out[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, schema.types)], schema=schema)
