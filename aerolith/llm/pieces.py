@@ -31,7 +31,7 @@ _M64 = (1 << 64) - 1
 
 
 class PieceCodec:
-    def __init__(self, model: str, rate: float = 0.1, seed: int = 1, variants: int = 4, most: int = 300_000):
+    def __init__(self, model: str, rate: float = 0.1, seed: int = 1, variants: int = 4, most: int = 1_000_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -54,43 +54,66 @@ class PieceCodec:
         self.limit, self.seed, self.variants, self.most = int(rate * (1 << 64)), seed, variants, most
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
+    def skips(self, key: int, left: int, middle: int, right: int) -> bool:
+        x = (key ^ (left << 42 | middle << 21 | right)) * 0x9E3779B97F4A7C15 & _M64
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
+        return x ^ x >> 32 < self.limit
+
     def segment(self, unit: str, variant: int) -> list[int]:
         """Ids of one word with its white space mark, from the agenda."""
+        key = int.from_bytes(hashlib.blake2b(unit.encode("utf-8", "surrogatepass"), digest_size=8, key=b"%d:%d" % (self.seed, variant)).digest(), "big") if self.limit else 0
+        ids, known = [], self.id
+        for piece in self._short(unit, key) if len(unit) <= 48 else self._long(unit, key):
+            if (i := known.get(piece)) is not None:
+                ids.append(i)
+            else:
+                ids += [self.byte_id[b] for b in piece.replace(_OWN_MARK, MARK).replace(_OWN_SEP, "\x1f").encode()]
+        return ids
+
+    def _short(self, unit: str, key: int) -> list[str]:
+        """The agenda as a list of the neighbours' scores: the first of the best is next."""
+        score, none, limit = self.score.get, -1e30, self.limit
+        parts, at = list(unit), list(range(len(unit) + 1))
+        agenda = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while agenda:
+            best = max(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            if limit and self.skips(key, at[i], at[i + 1], at[i + 2]):
+                agenda[i] = none
+                continue
+            parts[i] += parts[i + 1]
+            del parts[i + 1], at[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(parts[i] + parts[i + 1], none)
+            if i:
+                agenda[i - 1] = score(parts[i - 1] + parts[i], none)
+        return parts
+
+    def _long(self, unit: str, key: int) -> list[str]:
+        """The agenda as a heap, for long runs without white space."""
         score, n = self.score, len(unit)
-        end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+        end, prev = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
-        agenda: list[tuple[float, int, int, int]] = []
-        for i in range(n - 1):
-            if (s := score.get(unit[i : i + 2])) is not None:
-                agenda.append((-s, i, i + 1, i + 2))
+        agenda = [(-s, i, i + 1, i + 2) for i in range(n - 1) if (s := score.get(unit[i : i + 2])) is not None]
         heapq.heapify(agenda)
-        key = int.from_bytes(hashlib.blake2b(unit.encode("utf-8", "surrogatepass"), digest_size=8, key=b"%d:%d" % (self.seed, variant)).digest(), "big") if self.limit else 0
         while agenda:
             _, left, right, to = heapq.heappop(agenda)
-            if not alive[left] or end[left] != right or right >= n or not alive[right] or end[right] != to:
+            if not alive[left] or end[left] != right or not alive[right] or end[right] != to or self.limit and self.skips(key, left, right, to):
                 continue
-            if self.limit:
-                x = (key ^ (left << 42 | right << 21 | to)) * 0x9E3779B97F4A7C15 & _M64
-                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
-                if x ^ x >> 32 < self.limit:
-                    continue
             end[left], alive[right] = to, False
-            nxt[left] = nxt[right]
             if to < n:
                 prev[to] = left
                 if (s := score.get(unit[left : end[to]])) is not None:
                     heapq.heappush(agenda, (-s, left, to, end[to]))
             if (p := prev[left]) >= 0 and (s := score.get(unit[p:to])) is not None:
                 heapq.heappush(agenda, (-s, p, left, to))
-        ids, i = [], 0
+        out, i = [], 0
         while i < n:
-            piece = unit[i : end[i]]
-            if (known := self.id.get(piece)) is not None:
-                ids.append(known)
-            else:
-                ids += [self.byte_id[b] for b in piece.replace(_OWN_MARK, MARK).replace(_OWN_SEP, "\x1f").encode()]
+            out.append(unit[i : end[i]])
             i = end[i]
-        return ids
+        return out
 
     def units(self, text: str) -> list[str]:
         text = text.replace(MARK, _OWN_MARK).replace("\x1f", _OWN_SEP)
