@@ -12,6 +12,8 @@ ids; a null id comes first; an empty table gives no segments.
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import struct
 import zlib
@@ -102,22 +104,59 @@ class Segment:
 class CachedEncoder:
     """Ids of whole texts by the tokenizers library, as bytes of unsigned 32-bit integers.
 
-    Where no two white spaces meet, pre-tokens never reach over a space or a line break, so the library encodes each
-    distinct piece once and texts are put together from these. Other texts go to the library whole. The store of pieces
+    Where single spaces and line breaks are the only white space, pre-tokens never reach over a space or a line break, so the library encodes each
+    distinct piece once, many in one call, and texts are put together from these. Other texts go to the library whole. The store of pieces
     is emptied when it is full.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: a letter of the vocabulary is a byte
+        for piece, i in vocab.items():
+            self.width[i] = len(piece)
         self.most, self.pieces = most, {}
-        self.odd = re.compile(r"\s\s|[\x1c-\x1f\x85]|[^\S \n\t\r\xa0]")
+        self.other = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+        self.space = re.compile(r"\s")
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def learn(self, pieces: list[str], together: int = 2000) -> None:
+        """Encodes pieces many at a time: behind one another where each begins with its space, else on lines of their own.
+
+        The ids' lengths in bytes tell where each piece ends.
+        """
+        led, bare, rest = [], [], []
+        for p in pieces:
+            if self.space.search(p, 1) or not p or p == " ":
+                rest.append(p)
+            else:
+                (led if p[0] == " " else rest if p[0].isspace() else bare).append(p)
+        for group, by in ((led, ""), (bare, "\n")):
+            for a in range(0, len(group), together):
+                some = group[a : a + together]
+                ids = np.array(self.tok.encode_batch_fast([by.join(some)], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.cumsum(self.width[ids])
+                gap = len(by)
+                goal = np.cumsum([len(p.encode()) + gap for p in some]) - gap
+                last = np.searchsorted(ends, goal)
+                if last[-1] != len(ids) - 1 or (ends[last] != goal).any():
+                    rest += some
+                    continue
+                raw, first = ids.tobytes(), np.concatenate([[0], last[:-1] + 1 + gap])
+                self.pieces.update(zip(some, [raw[4 * i : 4 * j + 4] for i, j in zip(first.tolist(), last.tolist())]))
+        for a in range(0, len(rest), together):
+            self.pieces.update(zip(rest[a : a + together], self.whole(rest[a : a + together])))
+
+    def odd(self, text: str) -> bool:
+        """White spaces meet, or there are others than spaces and line breaks."""
+        return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.other.search(text) is not None
+
     def split(self, text: str) -> list[str]:
         return text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
 
@@ -127,15 +166,13 @@ class CachedEncoder:
         out: list[bytes | None] = [None] * len(texts)
         known, odd, missing, cut = self.pieces, [], set(), {}
         for i, text in enumerate(texts):
-            if self.odd.search(text):
+            if self.odd(text):
                 odd.append(i)
                 continue
             cut[i] = parts = self.split(text)
-            missing.update(p for p in parts if p not in known)
+            missing |= set(parts).difference(known)
         if missing:
-            missing = list(missing)
-            for a in range(0, len(missing), 20_000):
-                known.update(zip(missing[a : a + 20_000], self.whole(missing[a : a + 20_000])))
+            self.learn(sorted(missing))
         for i, parts in cut.items():
             out[i] = b"".join([known[p] for p in parts])
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]) if odd else ()):
@@ -143,13 +180,19 @@ class CachedEncoder:
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str) -> CachedEncoder:
+    """One for each worker process, so that later tasks find the pieces of earlier ones."""
+    return CachedEncoder(path)
+
+
 def _writer(path: str, end_id: int, bits: int, most: int):
     schema = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("code", pa.binary())])
 
     def write(batches):
         from pyspark import TaskContext
 
-        encoder, part, seg = CachedEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, seg = shared_encoder(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         docs, ends, held, n = [], [], [], 0
 
