@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, mixed, passes, scan_words, text_buffer
 
-SAMPLE, AXES, TERMS, NEIGHBOURS, CUT = 6000, 48, 4096, 25, 0.3
+SAMPLE, AXES, TERMS, NEIGHBOURS, CUT = 4000, 48, 4096, 25, 0.3
 _SHAPE = np.zeros(256, np.uint16)
 _SHAPE[97:123], _SHAPE[65:91], _SHAPE[48:58], _SHAPE[128:] = 1, 2, 3, 4
 for _i, _c in enumerate([32, 10, 9, 13, *range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]):
@@ -88,13 +88,16 @@ class Neighbours:
             q, _ = np.linalg.qr(x @ (x.T @ q))
         _, _, vt = np.linalg.svd(q.T @ x, full_matrices=False)
         found = Neighbours(weight, vt[:k].T.astype(np.float32), np.zeros((0, k), np.float32), labels.astype(np.float32))
-        found.vectors = found.latent(counts)
+        v = x @ found.axes
+        found.vectors = v / np.maximum(np.linalg.norm(v, axis=1), 1e-9)[:, None]
         return found
 
     @staticmethod
     def _weighed(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * weight
-        return x / np.maximum(np.linalg.norm(x, axis=1), 1e-9)[:, None]
+        x = np.log1p(counts)
+        x *= weight
+        x /= np.maximum(np.linalg.norm(x, axis=1), 1e-9)[:, None]
+        return x
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
         v = self._weighed(counts, self.weight) @ self.axes
@@ -116,13 +119,13 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def _sparse_rows(batches):
-    schema = pa.schema([("label", pa.int32()), ("doc_id", pa.int64()), ("cols", pa.list_(pa.int16())), ("counts", pa.list_(pa.float32()))])
+    schema = pa.schema([("label", pa.int32()), ("doc_id", pa.int64()), ("cols", pa.binary()), ("counts", pa.binary())])
     for batch in batches:
         data, offsets = text_buffer(batch.column(2))
         for i, j in passes(offsets):
             c = term_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             cols = [np.flatnonzero(r).astype(np.int16) for r in c]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(cols, schema.types[2]), pa.array([r[k] for r, k in zip(c, cols)], schema.types[3])], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([k.tobytes() for k in cols], pa.binary()), pa.array([r[k].tobytes() for r, k in zip(c, cols)], pa.binary())], schema=schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> Neighbours:
@@ -131,10 +134,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     picked = known.groupBy(F.col(label_id).cast("long").alias("label_id")).agg((F.min(label_col) > 0).cast("int").alias("label")).orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(picked), texts["doc_id"] == picked["label_id"]).select("label", "doc_id", "text")
-    got = rows.mapInArrow(_sparse_rows, "label int, doc_id long, cols array<short>, counts array<float>").orderBy("doc_id", "label").limit(sample).collect()
+    got = rows.mapInArrow(_sparse_rows, "label int, doc_id long, cols binary, counts binary").orderBy("doc_id", "label").limit(sample).collect()
     counts = np.zeros((len(got), TERMS), np.float32)
     for row, r in zip(counts, got):
-        row[np.array(r["cols"], np.int64)] = r["counts"]
+        row[np.frombuffer(r["cols"], np.int16)] = np.frombuffer(r["counts"], np.float32)
     if not len(got):
         return Neighbours(np.zeros(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32))
     return Neighbours.fit(counts, np.array([r["label"] for r in got]))
