@@ -38,8 +38,10 @@ def test_reversals(spark, values, want):
 def test_subtitles_round_trip(spark):
     rows = fixes(spark, [(5.0 * i, 2.0 * i) for i in range(20)])
     blocks = telemetry.subtitle_blocks(rows).select(F.col("flight_id").cast("string").alias("file"), "seq", "block")
-    back = telemetry.subtitle_rows(blocks).orderBy("seq").collect()
-    assert [(r.seq, round(r.t, 3), round(r.lat, 6)) for r in back] == [(r.seq, round(r.t, 3), round(r.lat, 6)) for r in rows.orderBy("seq").collect()]
+    back, want = telemetry.subtitle_rows(blocks).orderBy("seq").collect(), rows.orderBy("seq").collect()
+    assert [r.seq for r in back] == [r.seq for r in want]
+    for a, b in zip(back, want):  # the text has milliseconds and seven decimals
+        assert (a.t, a.lat, a.lon, a.alt) == pytest.approx((b.t, b.lat, b.lon, b.alt), abs=1e-7)
     odd = spark.createDataFrame([("f", 0, "1\n00:00:01,500 --> 00:00:02,000\nGPS(-81.5,41.2,18) BAROMETER: 3.5"), ("f", 1, "1\n00:00:02,000 --> 00:00:02,500\nGPS(120.5,41.2,18)"), ("f", 2, "nothing")], "file string, seq long, block string")
     got = telemetry.subtitle_rows(odd).orderBy("seq").collect()
     assert len(got) == 2 and (got[1].lat, got[1].lon) == (41.2, 120.5) and got[0].alt == 3.5
