@@ -68,12 +68,12 @@ def utm_epsg(line: Column) -> Column:
 
 
 def human_size(size: Column) -> Column:
-    """Bytes as text: B without decimals, KB and MB with one, GB with two."""
+    """Bytes as text: B without decimals, KB and MB with one, GB with two; ties go to the even digit."""
     return (
         F.when(size < 1024, F.format_string("%d B", size.cast("long")))
-        .when(size < 1024**2, F.format_string("%.1f KB", size / 1024.0))
-        .when(size < 1024**3, F.format_string("%.1f MB", size / 1024.0**2))
-        .otherwise(F.format_string("%.2f GB", size / 1024.0**3))
+        .when(size < 1024**2, F.format_string("%.1f KB", F.bround(size / 1024.0, 1)))
+        .when(size < 1024**3, F.format_string("%.1f MB", F.bround(size / 1024.0**2, 1)))
+        .otherwise(F.format_string("%.2f GB", F.bround(size / 1024.0**3, 2)))
     )
 
 
