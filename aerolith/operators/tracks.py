@@ -123,6 +123,12 @@ def shots(cands: DataFrame, key: str = "shot_key") -> DataFrame:
     return cands.withColumn("__c", F.when(first, 0).otherwise(F.col("is_cut").cast("int"))).withColumn("shot", F.sum("__c").over(w).cast("long")).drop("__c")
 
 
+def cut_proposals(frames: DataFrame, diff: str, window: int, ratio: float, least: float = 12.0, key: str = "shot_key") -> DataFrame:
+    """Frames whose difference exceeds both the least and a multiple of the median of the frames right before (0 if none)."""
+    recent = F.expr(f"percentile(`{diff}`, 0.5) over (partition by `{key}` order by frame rows between {int(window)} preceding and 1 preceding)")
+    return frames.withColumn("recent", F.coalesce(recent, F.lit(0.0))).where(F.col(diff) > F.greatest(F.lit(least), ratio * F.col("recent")))
+
+
 def keyframes(cands: DataFrame, min_shift: float = 0.10, max_gap: float = 2.0, blur: float = 0.5, key: str = "shot_key") -> DataFrame:
     """The sharpest candidate of each motion bin, with blurry and gap_before.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geodesy
+from ..operators import fits, fusion
 from ..operators import points as P
 from ..operators import tracks as T
 from . import flight
@@ -285,3 +286,36 @@ def position_errors(s, d):
 select f.target, count(*) as n_files, cast(sum(f.size) as bigint) as logical, coalesce(any_value(u.unique_bytes), 0) as unique_bytes, case when sum(f.size) < 1024 then printf('%d B', sum(f.size)::bigint) when sum(f.size) < 1048576 then printf('%.1f KB', sum(f.size) / 1024.0) else printf('%.1f MB', sum(f.size) / 1048576.0) end as human from f left join u on f.target = u.target group by f.target""")
 def storage_usage(s, d):
     return P.storage(files(s, d)).withColumn("human", geodesy.human_size(F.col("logical")))
+
+
+@query()
+def gps_fusion(s, d):
+    f = fixes(s, d)
+    return fusion.fused(f, f.where("seq % 3 = 0").select("flight_id", (F.col("t") + 0.2).alias("q")))
+
+
+_UNIT = f"select x / r as nx, y / r as ny, z / r as nz from (select x, y, z, sqrt(x * x + y * y + z * z) as r from ({POINTS}) p) q"
+
+
+@query(f"""with n as ({_UNIT}), g as (select unnest(range(-60, 61, 2)) * 1e0 as deg)
+select deg, cast(sum(case when abs(nz * cos(radians(deg)) + (0.6e0 * ny - 0.8e0 * nx) * sin(radians(deg))) < sin(radians(3e0)) then 1 else 0 end) as bigint) as votes from n, g group by deg""")
+def roll_votes(s, d):
+    r = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z"))
+    n = cloud(s, d).select(*((F.col(c) / r).alias(f"n{c}") for c in "xyz"))
+    return fits.roll_votes(n, (0.6, 0.8), [float(a) for a in range(-60, 61, 2)], 3.0)
+
+
+@query()
+def raster_components(s, d):
+    return fits.raster_components(_cells(s, d)).select("ix", "iy", F.col("component.ix").alias("cx"), F.col("component.iy").alias("cy"))
+
+
+@query()
+def robust_lines(s, d):
+    return fits.robust_line(cloud(s, d), "x", "y", "cls").select("cls", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query(f"""with c as ({CANDS}), m as (select *, coalesce(quantile_cont(sharpness, 0.5) over (partition by shot_key order by frame rows between 5 preceding and 1 preceding), 0.0) as recent from c)
+select shot_key, frame, sharpness, recent from m where sharpness > greatest(12.0, 2.0 * recent)""")
+def cut_proposals(s, d):
+    return T.cut_proposals(cands(s, d), "sharpness", 5, 2.0).select("shot_key", "frame", "sharpness", "recent")
