@@ -12,6 +12,7 @@ rows that repeat an id have equal ids; a null id counts as 0 for the draw; furth
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -147,12 +148,18 @@ class PieceCodec:
         return raw[1:].decode()  # the mark before the first word
 
 
+@functools.lru_cache(maxsize=2)
+def _codec(model: str, rate: float, seed: int, variants: int) -> PieceCodec:
+    """One for each worker process, so that later tasks find the words of earlier ones."""
+    return PieceCodec(model, rate, seed, variants)
+
+
 def _coder(model: str, rate: float, seed: int, variants: int, keep_ids: bool):
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("lossless", pa.bool_())]
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
     def run(batches):
-        codec = PieceCodec(model, rate, seed, variants)
+        codec = _codec(model, rate, seed, variants)
         for batch in batches:
             out: list[list] = [[] for _ in schema]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
