@@ -239,6 +239,7 @@ def repeated_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     places = distinct.select(F.col("at.doc").alias("doc"), F.struct("h", "ch", F.col("at.pos").alias("pos"), "cnt", (F.col("n") > hot).alias("hot")).alias("m"))
     contexts = places.groupBy("doc").agg(F.collect_list("m").alias("marks")).join(texts, "doc").select("body", "marks").mapInArrow(_context_pass(window, gram, ranges), "g long, h long, ch long, twice boolean, pad int, c0 int, c1 int, bytes binary")
     index = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_index_pass(window, gram, at_once), "h long, ch long, starts array<int>")
+    index = index.groupBy("h", "ch").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # at most one row for each range of a hot anchor's context
     marks = kept.drop("n").join(index, ["h", "ch"]).select("doc", F.transform("starts", lambda x: x + F.col("pos").cast("int")).alias("starts"))
     return marks.groupBy("doc").agg(F.flatten(F.collect_list("starts")).alias("marks"))
 
