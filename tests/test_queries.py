@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from aerolith.plans import catalog
+from aerolith.plans import catalog, surveys  # noqa: F401 (adds its queries to the catalogue)
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
