@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clouds
+from ..streaming import live
 from .catalog import ENU, POINTS, cloud, plane, query, r6
 
 _PHOTOS = f"select p.*, cast(10 + (seq * 37) % 90 as double) as sharpness from ({ENU}) p"
@@ -73,3 +74,20 @@ def footprint_matches(s, d):
 def gap_fill(s, d):
     c = cloud(s, d)
     return clouds.gap_filled(c.where("classification = 6"), c.where("classification = 2")).select("point_id", r6("d"))
+
+
+def _events(s, d):
+    return s.read.parquet(f"{d}/events.parquet").select(F.col("user_id").alias("flight_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
+
+
+@query("""with a as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 30 minute then 0 else 1 end as n from events), b as (select *, sum(n) over (partition by user_id order by ts rows unbounded preceding) as g from a)
+select user_id as flight_id, cast(round(epoch(min(ts))) as bigint) as start_s, cast(round(epoch(max(ts))) as bigint) as last_s, count(*) as fixes from b group by user_id, g""")
+def live_flights(s, d):
+    seconds = lambda c: F.round(F.unix_micros(c) / 1e6).cast("long").alias(f"{c}_s")
+    return live.flights(_events(s, d), "30 minutes").select("flight_id", seconds("start"), seconds("last"), "fixes")
+
+
+@query("""select user_id as flight_id, cast(floor(epoch(ts) / 3600) * 3600 as bigint) as start_s, count(*) as fixes, min(value) as low, max(value) as high, count(*) filter (value is null) as missing from events group by 1, 2""")
+def live_health(s, d):
+    h = live.health(_events(s, d), "value", "1 hour")
+    return h.select("flight_id", F.unix_seconds("start").alias("start_s"), "fixes", "low", "high", "missing")
