@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding with seeded merge dropout.
 
-The agenda of candidate merges is worked off by score, then place; each candidate is skipped when its keyed hash falls
-below the dropout rate. Pieces never reach past the white space before a word, so words are segmented alone; each word
-type has `variants` draws, and a keyed hash of document and place picks one for each occurrence. All segmentations
-decode to the text, byte for byte: spaces become the model's mark, characters without a piece become bytes, and a mark
-that stands in the text itself is written as bytes.
+The agenda of candidate merges is worked off by score, then place; each candidate is skipped when its hash, keyed by
+seed, document and place of the word, falls below the dropout rate. Pieces never reach past the white space before a
+word, so words are segmented alone. Kept are a word type's merges without dropout, and a tree of the candidates that
+came up after others were skipped; each occurrence draws for every candidate that it meets there, and works off an agenda
+of its own where the tree ends. All segmentations decode to the text, byte for byte: spaces become the model's mark,
+characters without a piece become bytes, and a mark that stands in the text itself is written as bytes.
 
 Defined cases: null and empty texts have no ids; rate 0 gives the model's own segmentation, rate 1 single characters;
 rows that repeat an id have equal ids; a null id counts as 0 for the draw; further columns are ignored.
@@ -32,7 +33,7 @@ _M64 = (1 << 64) - 1
 
 
 class PieceCodec:
-    def __init__(self, model: str, rate: float = 0.1, seed: int = 1, variants: int = 4, most: int = 1_000_000):
+    def __init__(self, model: str, rate: float = 0.1, seed: int = 1, most: int = 1_000_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -52,28 +53,75 @@ class PieceCodec:
                 self.bytes.append(piece.replace(MARK, " ").encode())
         if "\x1f" in self.id:
             self.id[_OWN_SEP] = self.id["\x1f"]
-        self.limit, self.seed, self.variants, self.most = int(rate * (1 << 64)), seed, variants, most
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.limit, self.seed, self.most = int(rate * (1 << 64)), seed, most
+        #: Of each word: its merges without dropout (packed places, their number) and the ids they give; its trees by first skip.
+        self.known: dict[str, tuple[bytes, int, bytes]] = {}
+        self.trees: dict[str, dict | None] = {}
+        self.nodes = 0
 
     def skips(self, key: int, left: int, middle: int, right: int) -> bool:
         x = (key ^ (left << 42 | middle << 21 | right)) * 0x9E3779B97F4A7C15 & _M64
         x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
         return x ^ x >> 32 < self.limit
 
-    def segment(self, unit: str, variant: int) -> list[int]:
-        """Ids of one word with its white space mark, from the agenda."""
-        key = int.from_bytes(hashlib.blake2b(unit.encode("utf-8", "surrogatepass"), digest_size=8, key=b"%d:%d" % (self.seed, variant)).digest(), "big") if self.limit else 0
+    def skipped(self, keys: np.ndarray, merges: np.ndarray) -> np.ndarray:
+        """skips() of many candidates, packed as left, middle and right."""
+        if self.limit > _M64:
+            return np.ones(len(keys), bool)
+        x = (keys ^ merges) * U64(0x9E3779B97F4A7C15)
+        x = (x ^ x >> U64(32)) * U64(0xD6E8FEB86659FD93)
+        return x ^ x >> U64(32) < U64(self.limit)
+
+    def segment(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> bytes:
+        """Ids of one word with its white space mark, from the agenda; candidates go to met, twice their places plus 1 if skipped."""
         ids, known = [], self.id
-        for piece in self._short(unit, key) if len(unit) <= 48 else self._long(unit, key):
+        for piece in self._short(unit, key, met, plain) if len(unit) <= 48 else self._long(unit, key, met, plain):
             if (i := known.get(piece)) is not None:
                 ids.append(i)
             else:
                 ids += [self.byte_id[b] for b in piece.replace(_OWN_MARK, MARK).replace(_OWN_SEP, "\x1f").encode()]
-        return ids
-
-    def _short(self, unit: str, key: int) -> list[str]:
+        return np.array(ids, np.uint16).tobytes()
+
+    def learn(self, unit: str) -> tuple[bytes, int, bytes]:
+        """The word's entry in known, from its agenda without dropout."""
+        if len(self.known) >= self.most:
+            self.known.clear()
+        met: list[int] = []
+        ids = self.segment(unit, 0, met, True)
+        self.known[unit] = got = (np.array([c >> 1 & _M64 for c in met], U64).tobytes(), len(met), ids)
+        return got
+
+    def dropped(self, unit: str, key: int, first: int) -> bytes:
+        """segment() of an occurrence that skips the word's plain merge number first, and none before."""
+        if self.nodes + len(self.trees) >= self.most:
+            self.trees.clear()
+            self.nodes = 0
+        limit, trees = self.limit, self.trees.get(unit)
+        if trees is None:  # kept from the second time on
+            self.trees[unit] = {} if unit in self.trees else None
+            return self.segment(unit, key)
+        node = trees.get(first)
+        while node.__class__ is list:
+            x = (key ^ node[0]) * 0x9E3779B97F4A7C15 & _M64
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
+            node = node[2 if x ^ x >> 32 < limit else 1]
+        if node is None:
+            met: list[int] = []
+            node = self.segment(unit, key, met)
+            at, way = trees, first
+            for c in met[first + 1 :]:
+                down = at.get(way) if at is trees else at[way]
+                if down is None:
+                    at[way] = down = [c >> 1, None, None]
+                    self.nodes += 1
+                at, way = down, 1 + (c & 1)
+            at[way] = node
+            self.nodes += 1
+        return node
+
+    def _short(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> list[str]:
         """The agenda as a list of the neighbours' scores: the first of the best is next."""
-        score, none, limit = self.score.get, -1e30, self.limit
+        score, none, limit = self.score.get, -1e30, 0 if plain else self.limit
         parts, at = list(unit), list(range(len(unit) + 1))
         agenda = [score(a + b, none) for a, b in zip(parts, parts[1:])]
         while agenda:
@@ -83,7 +131,11 @@ class PieceCodec:
             i = agenda.index(best)
             if limit and self.skips(key, at[i], at[i + 1], at[i + 2]):
                 agenda[i] = none
+                if met is not None:
+                    met.append((at[i] << 42 | at[i + 1] << 21 | at[i + 2]) * 2 + 1)
                 continue
+            if met is not None:
+                met.append((at[i] << 42 | at[i + 1] << 21 | at[i + 2]) * 2)
             parts[i] += parts[i + 1]
             del parts[i + 1], at[i + 1], agenda[i]
             if i < len(agenda):
@@ -92,16 +144,21 @@ class PieceCodec:
                 agenda[i - 1] = score(parts[i - 1] + parts[i], none)
         return parts
 
-    def _long(self, unit: str, key: int) -> list[str]:
+    def _long(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> list[str]:
         """The agenda as a heap, for long runs without white space."""
-        score, n = self.score, len(unit)
+        score, n, limit = self.score, len(unit), 0 if plain else self.limit
         end, prev = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
         agenda = [(-s, i, i + 1, i + 2) for i in range(n - 1) if (s := score.get(unit[i : i + 2])) is not None]
         heapq.heapify(agenda)
         while agenda:
             _, left, right, to = heapq.heappop(agenda)
-            if not alive[left] or end[left] != right or not alive[right] or end[right] != to or self.limit and self.skips(key, left, right, to):
+            if not alive[left] or end[left] != right or not alive[right] or end[right] != to:
+                continue
+            skip = limit and self.skips(key, left, right, to)
+            if met is not None:
+                met.append((left << 42 | right << 21 | to) * 2 + bool(skip))
+            if skip:
                 continue
             end[left], alive[right] = to, False
             if to < n:
@@ -126,21 +183,18 @@ class PieceCodec:
     def encode(self, doc: int, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint16)
-        units = self.units(text)
-        if self.variants > 1 and self.limit:
-            draw = mixed(np.arange(len(units), dtype=U64) * U64(0x9E3779B97F4A7C15) + U64((doc * 0xC2B2AE3D27D4EB4F + self.seed) & _M64)) % U64(self.variants)
-            pick = [self.known[v] for v in draw.tolist()]
-            parts = [d.get(u) for d, u in zip(pick, units)]
-        else:
-            draw, parts = None, [self.known[0].get(u) for u in units]
-        for i, p in enumerate(parts):
-            if p is None:
-                v = int(draw[i]) if draw is not None else 0
-                if (p := self.known[v].get(units[i])) is None:
-                    if len(self.known[v]) * self.variants > self.most:
-                        self.known[v].clear()
-                    p = self.known[v][units[i]] = np.array(self.segment(units[i], v), np.uint16).tobytes()
-                parts[i] = p
+        units, known = self.units(text), self.known
+        found = [known.get(u) or self.learn(u) for u in units]
+        parts = [f[2] for f in found]
+        if self.limit:
+            keys = mixed(np.arange(len(units), dtype=U64) * U64(0x9E3779B97F4A7C15) + U64((doc * 0xC2B2AE3D27D4EB4F + self.seed) & _M64))
+            count = np.array([f[1] for f in found])
+            unit = np.repeat(np.arange(len(units)), count)
+            at = np.flatnonzero(self.skipped(keys[unit], np.frombuffer(b"".join([f[0] for f in found]), U64)))
+            own, first = np.unique(unit[at], return_index=True)
+            first = at[first] - (np.cumsum(count) - count)[own]
+            for i, k, f in zip(own.tolist(), keys[own].tolist(), first.tolist()):
+                parts[i] = self.dropped(units[i], k, f)
         return np.frombuffer(b"".join(parts), np.uint16)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -149,17 +203,17 @@ class PieceCodec:
 
 
 @functools.lru_cache(maxsize=2)
-def _codec(model: str, rate: float, seed: int, variants: int) -> PieceCodec:
+def _codec(model: str, rate: float, seed: int) -> PieceCodec:
     """One for each worker process, so that later tasks find the words of earlier ones."""
-    return PieceCodec(model, rate, seed, variants)
+    return PieceCodec(model, rate, seed)
 
 
-def _coder(model: str, rate: float, seed: int, variants: int, keep_ids: bool):
+def _coder(model: str, rate: float, seed: int, keep_ids: bool):
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("lossless", pa.bool_())]
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
     def run(batches):
-        codec = _codec(model, rate, seed, variants)
+        codec = _codec(model, rate, seed)
         for batch in batches:
             out: list[list] = [[] for _ in schema]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -173,7 +227,7 @@ def _coder(model: str, rate: float, seed: int, variants: int, keep_ids: bool):
     return run
 
 
-def encoded(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.1, seed: int = 1, variants: int = 4, keep_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.1, seed: int = 1, keep_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, lossless[, ids]) of each row; lossless: the ids decode to the text exactly."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_coder(model, rate, seed, variants, keep_ids), "doc_id long, n_tokens long, ids_crc32 long, lossless boolean" + ", ids array<int>" * keep_ids)
+    return rows.mapInArrow(_coder(model, rate, seed, keep_ids), "doc_id long, n_tokens long, ids_crc32 long, lossless boolean" + ", ids array<int>" * keep_ids)

@@ -151,6 +151,24 @@ def test_pieces(spark, texts):
         assert codec._short(u, 99) == codec._long(u, 99)
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.5, 1.0])
+def test_each_occurrence_draws_for_itself(rate):
+    codec, plain = pieces.PieceCodec(PIECE_BPE, rate, most=300), pieces.PieceCodec(PIECE_BPE, 0.0)
+    text = " ".join(["international", "house", "cat", "abcd" * 15] * 300)
+    units = codec.units(text)
+    for doc in (3, 4):
+        mask = (1 << 64) - 1
+        keys = common.mixed(np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((doc * 0xC2B2AE3D27D4EB4F + codec.seed) & mask)).tolist()
+        own = [np.frombuffer(codec.segment(u, k), np.uint16).tolist() for u, k in zip(units, keys)]
+        ids = codec.encode(doc, text)
+        assert ids.tolist() == [i for x in own for i in x] and codec.decode(ids) == text
+        kinds = [len({tuple(x) for x in own[k::4]}) for k in range(4)]
+        assert rate == 1 and kinds == [1] * 4 or kinds[0] > 4 and kinds[3] > 4 and min(kinds) > 1
+    if rate == 1:
+        assert all(len(x) >= len(u) for x, u in zip(own, units))
+    assert len(ids) > len(plain.encode(4, text))
+
+
 # ---------------------------------------------------------------- 4
 
 
