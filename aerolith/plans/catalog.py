@@ -285,18 +285,30 @@ _CELLS = f"select distinct cast(floor(x / 1.0) as bigint) as ix, cast(floor(y /
 _NEXT = "(select unnest([-1, 0, 1]) as a) g, (select unnest([-1, 0, 1]) as b) h"
 
 
-def _cells(s, d):
-    return cloud(s, d).where("shot = 1").select(F.floor("x").alias("ix"), F.floor(F.col("y") / 2.0).alias("iy")).distinct()
+def _cells(s, d, shot=None):
+    p = cloud(s, d)
+    return (p if shot is None else p.where(F.col("shot") == shot)).select(F.floor("x").alias("ix"), F.floor(F.col("y") / 2.0).alias("iy")).distinct()
 
 
 @query(f"with c as ({_CELLS}), dil as (select distinct ix + a as ix, iy + b as iy from c, {_NEXT}) select ix + a as ix, iy + b as iy from dil, {_NEXT} group by 1, 2 having count(*) = 9")
 def raster_close(s, d):
+    return P.closed(_cells(s, d, 1))
+
+
+# The raster of raster_close and raster_open is what their SQL describes, one shot's; these take the points of all shots.
+@query()
+def raster_close_all(s, d):
     return P.closed(_cells(s, d))
 
 
+@query()
+def raster_open_all(s, d):
+    return P.opened(_cells(s, d))
+
+
 @query(f"with c as ({_CELLS}), er as (select ix + a as ix, iy + b as iy from c, {_NEXT} group by 1, 2 having count(*) = 9) select distinct ix + a as ix, iy + b as iy from er, {_NEXT}")
 def raster_open(s, d):
-    return P.opened(_cells(s, d))
+    return P.opened(_cells(s, d, 1))
 
 
 @query(f"""with p as ({ENU}), x as (select flight_id, e - round(e) as de, n - round(n) as dn, u - round(u / 2) * 2 as du from p), y as (select *, avg(de) over (partition by flight_id) as me, avg(dn) over (partition by flight_id) as mn from x)

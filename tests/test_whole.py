@@ -39,3 +39,24 @@ def test_nearest_of_all_points(spark):
     got, want = sorted(got, key=key), sorted(want, key=key)
     assert [key(r) for r in got] == [key(r) for r in want] and any(r[4] is None for r in want)
     assert all(a[4] is b[4] is None or math.isclose(a[4], b[4], abs_tol=2e-6) for a, b in zip(got, want))
+
+
+def test_rasters_of_all_points(spark):
+    near = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    points = catalog.cloud(spark, DATA).select("x", "y").collect()
+    cells = {(math.floor(x), math.floor(y / 2.0)) for x, y in points}
+    grow = lambda s: {(x + a, y + b) for x, y in s for a, b in near}
+    shrink = lambda s: {c for c in grow(s) if all((c[0] + a, c[1] + b) in s for a, b in near)}
+    rows = lambda name, *c: sorted(tuple(r[k] for k in c) for r in catalog.QUERIES[name](spark, DATA).collect())
+    assert rows("raster_close_all", "ix", "iy") == sorted(shrink(grow(cells)))
+    assert rows("raster_open_all", "ix", "iy") == sorted(grow(shrink(cells))) != []
+    want, left = [], set(cells)
+    while left:
+        todo, part = [left.pop()], []
+        while todo:
+            part.append(c := todo.pop())
+            new = {(c[0] + a, c[1] + b) for a, b in near} & left
+            left -= new
+            todo += new
+        want += [(*c, *min(part)) for c in part]
+    assert rows("raster_components", "ix", "iy", "cx", "cy") == sorted(want)
