@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, lowered, passes, scan_words, text_buffer
+from .common import gram_hashes, lowered, passes, scan_words, stored, text_buffer
 
 WINDOW = 13
 #: Words of the benchmark that one broadcast table holds at most; further items go to further tables and scans.
@@ -85,8 +85,8 @@ def _joined(runs) -> list[list[int]]:
     return out
 
 
-def _scanner(shared, id_type: pa.DataType):
-    schema = pa.schema([("doc_id", id_type), ("n_words", pa.int64()), ("runs", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+def _scanner(shared, id_type: pa.DataType, numbered: bool):
+    schema = pa.schema([("doc_id", id_type), ("n_words", pa.int64()), ("runs", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))] + [("row", pa.int64())] * numbered)
 
     def scan(batches):
         tables = shared.value
@@ -94,7 +94,7 @@ def _scanner(shared, id_type: pa.DataType):
             data, offsets = text_buffer(batch.column(1))
             for i, j in passes(offsets):
                 found = find_hits(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tables)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array([f[k] for f in found], schema.field(k + 1).type) for k in range(3))], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array([f[k] for f in found], schema.field(k + 1).type) for k in range(3)), *(c.slice(i, j - i) for c in batch.columns[2:])], schema=schema)
 
     return scan
 
@@ -112,7 +112,8 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_w
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, runs, items) for each row of docs; runs are the maximal hit runs [first, end) of word numbers.
 
-    With one block (a benchmark of up to some 12 MB) this is a map over the texts. With more, runs are united per row.
+    With one block (a benchmark of up to some 12 MB) this is a map over the texts. With more, the rows are stored with
+    a number, by which their runs are united.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
@@ -121,17 +122,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     schema = f"doc_id {'long' if id_type == pa.int64() else 'string'}, n_words long, runs array<array<long>>, items array<string>"
     blocks = list(benchmark_blocks(benchmark, item_col, item_text_col, block_words))
     parts = []
-    if len(blocks) > 1:  # the same rows must meet again; their numbers within a file scan are stable
-        base = base.withColumn("doc_id", F.col("doc_id"))
+    many = len(blocks) > 1
+    if many:  # the same rows must meet again
+        base = stored(base.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        schema += ", row long"
     for items in blocks:
         shared = spark.sparkContext.broadcast(window_table(items, window))
-        parts.append(base.mapInArrow(_scanner(shared, id_type), schema))
-    if len(parts) == 1:
+        parts.append(base.mapInArrow(_scanner(shared, id_type, many), schema))
+    if not many:
         return parts[0]
     united = parts[0]
     for p in parts[1:]:
         united = united.unionByName(p)
-    merged = united.groupBy("doc_id", "n_words").agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = united.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
     step = "aggregate(runs, cast(array() as array<array<long>>), (a, r) -> if(size(a) > 0 and r[0] <= element_at(a, -1)[1], concat(slice(a, 1, size(a) - 1), array(array(element_at(a, -1)[0], greatest(element_at(a, -1)[1], r[1])))), concat(a, array(r))))"
     return merged.withColumn("runs", F.expr(step))
 

@@ -75,6 +75,15 @@ def test_decontamination(spark, texts):
     assert kept.columns == frame(spark, texts).columns and kept.count() == sum(not r.contaminated for r in got.values())
 
 
+def test_decontamination_of_repeated_ids(spark, texts):
+    bench = spark.createDataFrame([(1, texts[5]), (2, texts[6]), (3, "not here")], "item_id long, text string")
+    other = " ".join(f"w{i}" for i in range(len(words(texts[5]))))
+    docs = frame(spark, [texts[5], other, texts[5], texts[5], other, None, None], [3, 3, 3, None, None, None, 4])
+    some = [sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items) for r in decontaminate.judged(decontaminate.contamination(docs, bench, block_words=b)).collect()) for b in (decontaminate.BLOCK_WORDS, 20)]
+    n = len(words(texts[5]))
+    assert some[0] == some[1] == sorted([("3", n, n, 1), ("3", n, 0, 0), ("3", n, n, 1), ("None", n, n, 1), ("None", n, 0, 0), ("None", 0, 0, 0), ("4", 0, 0, 0)])
+
+
 def test_cutting_spans():
     assert decontaminate.without_spans("Ab, cd ef gh!", [[1, 3]]) == "Ab,  gh!".replace("  ", "  ")
 
