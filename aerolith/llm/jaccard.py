@@ -1,7 +1,7 @@
 """N-gram Jaccard join: MinHash banding, a shuffle on band hashes, and exact verification on full n-gram sets.
 
 Bands and rows follow from the target recall at the threshold (1 - (1 - s^r)^b). Documents with the same words in the
-same order are one class, represented by its smallest id. Buckets with the same members in several bands are verified
+same order are one class, a node of its own with the text of one of its rows, named by its smallest id. Buckets with the same members in several bands are verified
 once; a pair is counted in the first band on which it agrees. Large buckets are cut into blocks that meet pair by pair,
 so no task holds a whole hot group; inside a task only counts per document and a spanning forest leave, never all pairs.
 
@@ -41,6 +41,33 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return gram_hashes(words, min(n, len(words))) if len(words) else words
 
 
+def _order_hashes(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each text's shingles in their order."""
+    place = np.arange(len(flat), dtype=np.uint64) - np.repeat(first, size).astype(np.uint64)
+    return np.add.reduceat(mixed(flat + place * np.uint64(0x9E3779B97F4A7C15)), first), np.add.reduceat(mixed(flat ^ (place * np.uint64(0xC2B2AE3D27D4EB4F))), first)
+
+
+def _keyer(n: int):
+    """Texts with the class that they are in."""
+    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("text", pa.string())])
+
+    def key(batches):
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in passes(offsets):
+                _, _, h, at = scan_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                count = np.diff(at)
+                full = np.flatnonzero(count)
+                grams = [shingles(h[at[d] : at[d + 1]], n) for d in full]
+                d1, d2 = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
+                if grams:
+                    size = np.array([len(g) for g in grams])
+                    d1[full], d2[full] = _order_hashes(np.concatenate(grams), np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(count), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), batch.column(1).slice(i, j - i).cast(pa.string())], schema=schema)
+
+    return key
+
+
 def _signer(bands: int, rows: int, n: int, seed: int):
     rng = np.random.default_rng(seed)
     xor, mul = rng.integers(0, 2**32, bands * rows, dtype=np.uint32), rng.integers(0, 2**32, bands * rows, dtype=np.uint32) | np.uint32(1)
@@ -67,9 +94,7 @@ def _signer(bands: int, rows: int, n: int, seed: int):
                         mins[:, k] = np.minimum.reduceat((low ^ xor[k]) * mul[k], first)
                     for b in range(bands):
                         keys[full, b] = mixed((mixed(mins[:, b * rows : (b + 1) * rows] + np.uint64(b << 32)) * fold[b]).sum(axis=1, dtype=np.uint64))
-                    place = np.arange(len(flat), dtype=np.uint64) - np.repeat(first, size).astype(np.uint64)
-                    d1[full] = np.add.reduceat(mixed(flat + place * np.uint64(0x9E3779B97F4A7C15)), first)
-                    d2[full] = np.add.reduceat(mixed(flat ^ (place * np.uint64(0xC2B2AE3D27D4EB4F))), first)
+                    d1[full], d2[full] = _order_hashes(flat, first, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * bands, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(count), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists], schema=schema)
 
@@ -104,7 +129,7 @@ def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
 def _verifier(n: int, threshold: float):
     limit = Fraction(str(threshold))
     p, q = limit.numerator, limit.denominator
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+    schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def verify(batches):
         ids, links, roots = [], [], []
@@ -126,7 +151,7 @@ def _verifier(n: int, threshold: float):
             left, right = left[own], right[own]
             if not len(left):
                 continue
-            node, weight = t.column("id").to_numpy(), t.column("size").to_numpy()
+            node, weight = t.column("node").to_numpy(), t.column("size").to_numpy()
             order = np.argsort(node, kind="stable")
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
@@ -155,24 +180,28 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stored(base.select("id", "text").mapInArrow(_signer(bands, rows, shingle, seed), "id long, n_words long, d1 long, d2 long, bands array<long>"), "signatures")
     live = signed.where("id is not null and n_words > 0")
-    classes = live.groupBy("n_words", "d1", "d2").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    reps = stored(live.groupBy("n_words", "d1", "d2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id"), F.count("*").alias("size")).drop("d1", "d2"), "representatives")
-    spread = reps.select("id", "n_words", F.posexplode("bands").alias("band", "key"))
+    reps = stored(live.groupBy("n_words", "d1", "d2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id"), F.count("*").alias("size")).withColumn("node", F.monotonically_increasing_id()), "representatives")
+    spread = reps.select("node", "n_words", F.posexplode("bands").alias("band", "key"))
     buckets = (
-        spread.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x2"), F.min("band").alias("band"))
+        spread.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"), F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x2"), F.min("band").alias("band"))
         .where("n > 1")
         .groupBy("n", "words", "x1", "x2").agg(F.min_by("key", "band").alias("key"), F.min("band").alias("band"))
         .select("key", "band", F.greatest(F.ceil(F.col("n") / block_docs), F.ceil(F.col("words") / block_words), F.lit(1)).cast("int").alias("g"))
     )
-    members = spread.drop("n_words", "band").join(buckets, "key").withColumn("blk", F.pmod(F.xxhash64("id", "key"), F.col("g")).cast("int"))
-    met = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select("key", "band", "id", "blk", F.least("blk", "o").alias("a"), F.greatest("blk", "o").alias("b"))
-    texts = base.where("id is not null").dropDuplicates(["id"]) if False else base.where("id is not null")
-    rows_in = met.join(reps.select("id", "size", "bands"), "id").join(texts, "id")
-    parts = rows_in.select("key", "a", "b", "blk", "band", "id", "size", "bands", "text").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "id")
-    found = stored(parts.mapInArrow(_verifier(shingle, threshold), "id long, links long, root long"), "links")
-    linked = found.groupBy("id").agg(F.sum("links").alias("links"))
-    comp = connected_components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
-    per = classes.join(linked, classes["class_id"] == linked["id"], "left").drop("id").join(comp, F.col("class_id") == comp["node"], "left").drop("node")
+    members = spread.drop("n_words", "band").join(buckets, "key").withColumn("blk", F.pmod(F.xxhash64("node", "key"), F.col("g")).cast("int"))
+    met = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select("key", "band", "node", "blk", F.least("blk", "o").alias("a"), F.greatest("blk", "o").alias("b"))
+    needed = reps.select("id", "n_words", "d1", "d2", "node").join(members.select("node").distinct(), "node")
+    keyed = base.where("id is not null").select("id", "text").mapInArrow(_keyer(shingle), "id long, n_words long, d1 long, d2 long, text string")
+    texts = keyed.join(needed, ["id", "n_words", "d1", "d2"]).select("node", "text").dropDuplicates(["node"])
+    rows_in = met.join(reps.select("node", "size", "bands"), "node").join(texts, "node")
+    parts = rows_in.select("key", "a", "b", "blk", "band", "node", "size", "bands", "text").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
+    found = stored(parts.mapInArrow(_verifier(shingle, threshold), "node long, links long, root long"), "links")
+    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+    comp = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    comp = stored(comp.withColumnRenamed("component", "top").join(reps.select("node", "id"), "node"), "components")
+    names = comp.groupBy("top").agg(F.min("id").alias("component"))
+    classes = reps.select("n_words", "d1", "d2", "node", F.col("id").alias("class_id"), F.col("size").alias("class_size"))
+    per = classes.join(linked, "node", "left").join(comp.drop("id").join(names, "top"), "node", "left")
     out = signed.drop("bands").alias("s").join(per, ["n_words", "d1", "d2"], "left")
     alone = F.col("n_words") == 0
     own = lambda c, other: F.when(F.col("id").isNull() | alone, other).otherwise(c)

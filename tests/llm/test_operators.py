@@ -132,6 +132,18 @@ def test_near_duplicates_of_odd_rows(spark, texts):
     assert jaccard.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark, texts):
+    a, b = prose(random.Random(8), 90), prose(random.Random(9), 90)
+    close = lambda t: t + " more"
+    rows = [(5, a), (5, a), (9, close(a)), (7, a), (7, b), (12, close(b)), (5, b + " again")]
+    got = jaccard.near_duplicates(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    of_a, of_b = [(5, 3, 5), (5, 3, 5), (9, 3, 5), (7, 3, 5)], [(7, 2, 5), (12, 2, 5), (5, 2, 5)]
+    assert sorted((r.doc_id, r.n_links, r.component_id) for r in got) == sorted(of_a + of_b)
+    rows = [(5, a), (5, b), (9, close(a)), (3, close(b))]
+    got = jaccard.near_duplicates(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id, r.n_links, r.component_id) for r in got) == [(3, 1, 3), (5, 1, 3), (5, 1, 5), (9, 1, 5)]
+
+
 def test_banding_reaches_the_recall():
     b, r = jaccard.banding(0.8, 0.9999)
     assert 1 - (1 - 0.8**r) ** b >= 0.9999
