@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_number(df: DataFrame, name: str) -> DataFrame:
+    """Adds a number of each row that is the same in each scan: of its place in its file, or stored for other rows."""
+    try:
+        return df.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name))
+    except AnalysisException:
+        return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

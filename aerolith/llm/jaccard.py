@@ -68,11 +68,11 @@ def _keyer(n: int):
     return key
 
 
-def _signer(bands: int, rows: int, n: int, seed: int):
+def _signer(bands: int, rows: int, n: int, seed: int, numbered: bool = False):
     rng = np.random.default_rng(seed)
     xor, mul = rng.integers(0, 2**32, bands * rows, dtype=np.uint32), rng.integers(0, 2**32, bands * rows, dtype=np.uint32) | np.uint32(1)
     fold = rng.integers(0, 2**63, (bands, rows), dtype=np.uint64) | np.uint64(1)
-    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))] + [("row", pa.int64())] * numbered)
 
     def sign(batches):
         for batch in batches:
@@ -96,7 +96,7 @@ def _signer(bands: int, rows: int, n: int, seed: int):
                         keys[full, b] = mixed((mixed(mins[:, b * rows : (b + 1) * rows] + np.uint64(b << 32)) * fold[b]).sum(axis=1, dtype=np.uint64))
                     d1[full], d2[full] = _order_hashes(flat, first, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * bands, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(count), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(count), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists, *(c.slice(i, j - i) for c in batch.columns[2:])], schema=schema)
 
     return sign
 
@@ -170,15 +170,16 @@ def _verifier(n: int, threshold: float):
     return verify
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5, block_docs: int = BLOCK_DOCS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, class_id, class_size, n_links, component_id, kept) for each row.
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5, block_docs: int = BLOCK_DOCS, block_words: int = BLOCK_WORDS, row_col: str | None = None) -> DataFrame:
+    """(doc_id, class_id, class_size, n_links, component_id, kept[, row, component]) for each row.
 
     class_id: smallest id with the same words; n_links: other rows with similarity of the threshold or more, copies
-    included; component_id: smallest id that links reach; kept: the row is its component's smallest id.
+    included; component_id: smallest id that links reach; kept: the row is its component's smallest id. With a column of
+    row numbers these are returned, with the number of each row's component, null for a row without id or words.
     """
     bands, rows = banding(threshold, recall)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = stored(base.select("id", "text").mapInArrow(_signer(bands, rows, shingle, seed), "id long, n_words long, d1 long, d2 long, bands array<long>"), "signatures")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *([F.col(row_col).cast("long").alias("row")] if row_col else []))
+    signed = stored(base.mapInArrow(_signer(bands, rows, shingle, seed, row_col is not None), "id long, n_words long, d1 long, d2 long, bands array<long>" + ", row long" * bool(row_col)), "signatures")
     live = signed.where("id is not null and n_words > 0")
     reps = stored(live.groupBy("n_words", "d1", "d2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id"), F.count("*").alias("size")).withColumn("node", F.monotonically_increasing_id()), "representatives")
     spread = reps.select("node", "n_words", F.posexplode("bands").alias("band", "key"))
@@ -211,4 +212,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         own(F.col("class_size"), F.lit(1)).cast("long").alias("class_size"),
         own(F.coalesce("links", F.lit(0)) + F.col("class_size") - 1, F.lit(0)).cast("long").alias("n_links"),
         own(F.coalesce("component", "class_id"), F.col("id")).alias("component_id"),
+        *(["row", F.when(~alone & F.col("id").isNotNull(), F.coalesce("top", "node")).alias("component")] if row_col else []),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def first_rows(docs: DataFrame, row_col: str, **options) -> DataFrame:
+    """(row) to keep: one of each component, of its smallest id, and all rows without id or words."""
+    rows = stored(near_duplicates(docs, row_col=row_col, **options).where("kept").select("row", "component"), "kept")
+    first = rows.where("component is not null").groupBy("component").agg(F.min("row").alias("row"))
+    return first.select("row").unionByName(rows.where("component is null").select("row"))

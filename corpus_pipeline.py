@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import decontaminate, jaccard, pieces, quality, suffixes
-from aerolith.llm.common import stored, table
+from aerolith.llm.common import stored, table, with_row_number
 from aerolith.llm.queries import PIECE_BPE, TOKENIZERS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,15 +19,20 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    copies = jaccard.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(COLUMNS)
+    """The document with the smallest id of each group of near duplicates, one row of it; those without id or words."""
+    rows = with_row_number(docs, "__row")
+    first = jaccard.first_rows(rows, "__row").withColumnRenamed("row", "__row")
+    return rows.join(first, "__row", "left_semi").select(COLUMNS)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 200 bytes or more that stand elsewhere too; characters stay whole."""
-    texts = suffixes.deduped(docs).dropDuplicates(["doc_id"])
-    return docs.drop("text", "n_chars").join(texts, "doc_id", "left").withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+    """Texts without passages of 200 bytes or more that stand elsewhere too; characters stay whole, as do texts without an id."""
+    rows = with_row_number(docs, "__row")
+    named = rows.where("doc_id is not null")
+    texts = suffixes.deduped(named, id_col="__row").withColumnRenamed("doc_id", "__row")
+    cut = named.drop("text", "n_chars").join(texts, "__row")
+    both = cut.select("doc_id", "text", "lang", "source").unionByName(rows.where("doc_id is null").select("doc_id", "text", "lang", "source"))
+    return both.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
