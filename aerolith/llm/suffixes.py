@@ -1,10 +1,11 @@
-"""Suffix-array dedup: long repeated byte strings through a run-length Burrows-Wheeler index.
+"""Suffix-array dedup: long repeated byte strings through a positional Burrows-Wheeler transform.
 
 1. Anchors. In every window of WINDOW bytes the smallest hash of GRAM bytes marks an anchor, so equal windows share one.
    Anchors that occur once are dropped by a distributed count; only the contexts of the others, once for each distinct
    context, go to an index.
 2. Index. Contexts that share an anchor are aligned at it. Their positional Burrows-Wheeler transform is built column by
-   column; each column is kept as runs, divergence values are worked out at run ends (sampled) and follow inside a run.
+   column, with order and divergence of every row; runs only serve to take maxima, nothing is kept as runs or samples.
+   Copies of whole contexts are settled by their hashes.
    Streaming the columns gives, for every context and end, the longest match with any other context (its matching
    statistic); matches of WINDOW bytes or more are marked. A context that occurs twice matches itself.
 3. Marks return to all occurrences and unite per document.
@@ -139,7 +140,7 @@ def _between(x: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class RunLengthIndex:
-    """The run-length positional Burrows-Wheeler transform of aligned rows, streamed column by column."""
+    """The positional Burrows-Wheeler transform of aligned rows, streamed column by column."""
 
     def __init__(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pads: np.ndarray, width: int):
         self.raw, self.starts, self.lengths, self.pads, self.width = raw, starts, lengths, pads, width
