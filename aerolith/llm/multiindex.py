@@ -1,8 +1,8 @@
 """Embedding near-dedup over an inverted multi-index.
 
-Unit vectors are cut into halves with a codebook each; the two form a product grid of cells. A vector visits cells in the
-order of its summed half distances (multi-sequence order) until the excess over its nearest cell passes a bound, fitted
-so that a partner just at the threshold lies in a visited cell with the target recall. Visits then meet the cell's own
+Unit vectors are cut into halves with a codebook each; the two form a product grid of cells. A vector visits the
+cells whose summed half distances exceed those of its nearest cell by at most a bound, found by a scan of the whole grid
+and fitted so that a partner just at the threshold lies in a visited cell with the target recall. Visits then meet the cell's own
 vectors in blocks, and every cosine is verified in double precision.
 
 Vectors with equal components and label are one class. Cells and their visitors are cut into blocks, so no task holds a
@@ -66,7 +66,7 @@ class MultiIndex:
         return self.distances(unit).argmin(1)
 
     def visits(self, unit: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Own cell, and the visited cells in multi-sequence order, of each vector."""
+        """Own cell, and the visited cells by their distance, of each vector."""
         d = self.distances(unit)
         home, low = d.argmin(1), d.min(1)
         seen = []
