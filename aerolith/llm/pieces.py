@@ -1,11 +1,14 @@
 """SentencePiece encoding and decoding with seeded merge dropout.
 
-The agenda of candidate merges is worked off by score, then place; each candidate is skipped when its hash, keyed by
-seed, document and place of the word, falls below the dropout rate. Pieces never reach past the white space before a
-word, so words are segmented alone. Kept are a word type's merges without dropout, and a tree of the candidates that
-came up after others were skipped; each occurrence draws for every candidate that it meets there, and works off an agenda
-of its own where the tree ends. All segmentations decode to the text, byte for byte: spaces become the model's mark,
-characters without a piece become bytes, and a mark that stands in the text itself is written as bytes.
+The agenda of candidate merges is worked off by score, then place; a candidate whose hash, keyed by seed, document, place
+of the word and places of its two parts, falls below the dropout rate is skipped. Pieces never reach past the white space
+before a word, so words have agendas of their own. Many words are worked off at once: words of like length are columns
+of arrays, and a step takes the best candidate of each column, merges it and draws for the two new candidates. Every
+occurrence of a word draws for itself; nothing is kept from one text to the next. Runs of more than SHORT characters
+without white space have a heap each.
+
+All segmentations decode to the text, byte for byte: spaces become the model's mark, characters without a piece become
+bytes, and a mark that stands in the text itself is written as bytes.
 
 Defined cases: null and empty texts have no ids; rate 0 gives the model's own segmentation, rate 1 single characters;
 rows that repeat an id have equal ids; a null id counts as 0 for the draw; further columns are ignored.
@@ -14,9 +17,7 @@ rows that repeat an id have equal ids; a null id counts as 0 for the draw; furth
 from __future__ import annotations
 
 import functools
-import hashlib
 import heapq
-import re
 import zlib
 
 import numpy as np
@@ -24,21 +25,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed
+from .common import U64, mixed, passes, text_buffer
 
 MARK = "▁"
-#: Stand-ins, which no valid text holds, for the mark and the separator where the text itself has them.
-_OWN_MARK, _OWN_SEP = "\udc81", "\udc1f"
+#: Longest word that is a column, words worked off at once, and a rank above all others.
+SHORT, AT_ONCE, NONE = 48, 1 << 17, np.int32(2**31 - 1)
+#: Symbols: ids of pieces, then, from the number of pieces on, characters that are no piece. The text's own mark has a number beyond Unicode.
+_OWN_MARK, _WIDE = 0x110000, 21
 _M64 = (1 << 64) - 1
 
 
+def utf8(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of bytes, [n, 4] bytes) of code points in UTF-8."""
+    c = points.astype(np.uint32)
+    size = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+    out = np.zeros((len(c), 4), np.uint8)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)
+    for j in range(4):
+        shift = 6 * np.maximum(size - 1 - j, 0).astype(np.uint32)
+        part = c >> shift
+        out[:, j] = np.where(j == 0, part | lead[size], 0x80 | part & 0x3F)
+    return size, out
+
+
 class PieceCodec:
-    def __init__(self, model: str, rate: float = 0.1, seed: int = 1, most: int = 1_000_000):
+    def __init__(self, model: str, rate: float = 0.1, seed: int = 1):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.score, self.id, self.bytes, self.byte_id = {}, {}, [], [0] * 256
-        for i in range(sp.get_piece_size()):
+        self.n, self.bytes, self.byte_id = sp.get_piece_size(), [], np.zeros(256, np.int32)
+        pieces: dict[str, int] = {}
+        for i in range(self.n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 value = int(piece[3:5], 16)
@@ -47,164 +64,240 @@ class PieceCodec:
             elif sp.is_control(i) or sp.is_unknown(i):
                 self.bytes.append(b"")
             else:
-                if MARK in piece.lstrip(MARK) or len(piece) > 1 and ("\n" in piece or "\x1f" in piece):
+                if MARK in piece.lstrip(MARK) or len(piece) > 1 and "\n" in piece:
                     raise ValueError("the model has pieces across words")
-                self.id[piece], self.score[piece] = i, sp.get_score(i)
+                pieces[piece] = i
                 self.bytes.append(piece.replace(MARK, " ").encode())
-        if "\x1f" in self.id:
-            self.id[_OWN_SEP] = self.id["\x1f"]
-        self.limit, self.seed, self.most = int(rate * (1 << 64)), seed, most
-        #: Of each word: its merges without dropout (packed places, their number) and the ids they give; its trees by first skip.
-        self.known: dict[str, tuple[bytes, int, bytes]] = {}
-        self.trees: dict[str, dict | None] = {}
-        self.nodes = 0
-
-    def skips(self, key: int, left: int, middle: int, right: int) -> bool:
-        x = (key ^ (left << 42 | middle << 21 | right)) * 0x9E3779B97F4A7C15 & _M64
-        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
-        return x ^ x >> 32 < self.limit
-
-    def skipped(self, keys: np.ndarray, merges: np.ndarray) -> np.ndarray:
-        """skips() of many candidates, packed as left, middle and right."""
+        self.letter = np.arange(self.n, self.n + _OWN_MARK + 1, dtype=np.int32)
+        for piece, i in pieces.items():
+            if len(piece) == 1:
+                self.letter[ord(piece)] = i
+        self.letter[32] = self.letter[ord(MARK)]
+        self.pad = int(self.letter[-1]) + 1
+        self.letter[ord(MARK)] = self.letter[_OWN_MARK]
+        score = np.array([-sp.get_score(i) for i in range(self.n)])
+        self.rank = np.unique(score, return_inverse=True)[1].astype(np.int32)
+        symbol = lambda s: self.letter[32 if s == MARK else ord(s)] if len(s) == 1 else pieces.get(s, -1)
+        pairs = {}
+        for piece, i in pieces.items():
+            for k in range(1, len(piece)):
+                a, b = int(symbol(piece[:k])), int(symbol(piece[k:]))
+                if a >= 0 and b >= 0:
+                    pairs[a << _WIDE | b] = i
+        self._place(pairs)
+        self.width = np.array([len(b) for b in self.bytes], np.int64)
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.first = np.cumsum(self.width) - self.width
+        self.limit, self.seed = int(rate * (1 << 64)), seed
+
+    def _place(self, pairs: dict[int, int]) -> None:
+        """An open hash table of pairs of symbols, at most an eighth full."""
+        self.shift = 64 - max(10, (8 * len(pairs)).bit_length())
+        size = 1 << (64 - self.shift)
+        self.keys, self.values = np.full(size + 64, -1, np.int64), np.full(size + 64, -1, np.int32)
+        keys, values = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32)
+        at = self._slot(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]], self.values[at[free]] = keys[free], values[free]
+            left = self.keys[at] != keys
+            keys, values, at = keys[left], values[left], at[left] + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(U64) * U64(0x9E3779B97F4A7C15) >> U64(self.shift)).astype(np.int64)
+
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each pair of symbols gives; -1 for none."""
+        keys = left.astype(np.int64) << _WIDE | right
+        at = self._slot(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.values[at], np.int32(-1))
+        todo = np.flatnonzero((there != keys) & (there >= 0))
+        while len(todo):
+            at[todo] += 1
+            there = self.keys[at[todo]]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.values[at[todo[hit]]]
+            todo = todo[~hit & (there >= 0)]
+        return out
+
+    def skips(self, key: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the merge of [left, middle) and [middle, right) is skipped, in the word whose key it is."""
         if self.limit > _M64:
-            return np.ones(len(keys), bool)
-        x = (keys ^ merges) * U64(0x9E3779B97F4A7C15)
+            return np.ones(len(key), bool)
+        place = left.astype(U64) << U64(42) | middle.astype(U64) << U64(21) | right.astype(U64)
+        x = (key ^ place) * U64(0x9E3779B97F4A7C15)
         x = (x ^ x >> U64(32)) * U64(0xD6E8FEB86659FD93)
         return x ^ x >> U64(32) < U64(self.limit)
 
-    def segment(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> bytes:
-        """Ids of one word with its white space mark, from the agenda; candidates go to met, twice their places plus 1 if skipped."""
-        ids, known = [], self.id
-        for piece in self._short(unit, key, met, plain) if len(unit) <= 48 else self._long(unit, key, met, plain):
-            if (i := known.get(piece)) is not None:
-                ids.append(i)
-            else:
-                ids += [self.byte_id[b] for b in piece.replace(_OWN_MARK, MARK).replace(_OWN_SEP, "\x1f").encode()]
-        return np.array(ids, np.uint16).tobytes()
-
-    def learn(self, unit: str) -> tuple[bytes, int, bytes]:
-        """The word's entry in known, from its agenda without dropout."""
-        if len(self.known) >= self.most:
-            self.known.clear()
-        met: list[int] = []
-        ids = self.segment(unit, 0, met, True)
-        self.known[unit] = got = (np.array([c >> 1 & _M64 for c in met], U64).tobytes(), len(met), ids)
-        return got
-
-    def dropped(self, unit: str, key: int, first: int) -> bytes:
-        """segment() of an occurrence that skips the word's plain merge number first, and none before."""
-        if self.nodes + len(self.trees) >= self.most:
-            self.trees.clear()
-            self.nodes = 0
-        limit, trees = self.limit, self.trees.get(unit)
-        if trees is None:  # kept from the second time on
-            self.trees[unit] = {} if unit in self.trees else None
-            return self.segment(unit, key)
-        node = trees.get(first)
-        while node.__class__ is list:
-            x = (key ^ node[0]) * 0x9E3779B97F4A7C15 & _M64
-            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
-            node = node[2 if x ^ x >> 32 < limit else 1]
-        if node is None:
-            met: list[int] = []
-            node = self.segment(unit, key, met)
-            at, way = trees, first
-            for c in met[first + 1 :]:
-                down = at.get(way) if at is trees else at[way]
-                if down is None:
-                    at[way] = down = [c >> 1, None, None]
-                    self.nodes += 1
-                at, way = down, 1 + (c & 1)
-            at[way] = node
-            self.nodes += 1
-        return node
-
-    def _short(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> list[str]:
-        """The agenda as a list of the neighbours' scores: the first of the best is next."""
-        score, none, limit = self.score.get, -1e30, 0 if plain else self.limit
-        parts, at = list(unit), list(range(len(unit) + 1))
-        agenda = [score(a + b, none) for a, b in zip(parts, parts[1:])]
-        while agenda:
-            best = max(agenda)
-            if best == none:
+    def keys_of(self, doc: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Keys of words by their document's number and their place in it."""
+        return mixed(word.astype(U64) * U64(0x9E3779B97F4A7C15) + doc.astype(np.int64).view(U64) * U64(0xC2B2AE3D27D4EB4F) + U64(self.seed & _M64))
+
+    def _candidates(self, key, left, right, i, j, k) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, piece) of pairs of neighbours that stand at i, j and end at k; skipped ones have no rank."""
+        to = self.merged(left, right)
+        rank = np.full(len(to), NONE, np.int32)
+        hit = np.flatnonzero(to >= 0)
+        if self.limit and len(hit):
+            hit = hit[~self.skips(key[hit], i[hit], j[hit], k[hit])]
+        rank[hit] = self.rank[to[hit]]
+        return rank, to
+
+    def _columns(self, symbols: np.ndarray, start: np.ndarray, length: np.ndarray, keys: np.ndarray, rows: int) -> None:
+        """Works off the agendas of words of up to `rows` characters; symbols that were merged away become -1."""
+        n = len(start)
+        place = np.arange(1, rows + 1)[:, None]
+        inside = place <= length
+        sym = np.full((rows + 2, n), self.pad, np.int32)
+        sym[1:-1][inside] = symbols[(start + place - 1)[inside]]
+        column = np.arange(n)
+        rank, to = np.full((rows + 2, n), NONE, np.int32), np.zeros((rows + 2, n), np.int32)
+        row, col = np.nonzero(place < length)
+        row += 1
+        rank[row, col], to[row, col] = self._candidates(keys[col], sym[row, col], sym[row + 1, col], row - 1, row, row + 1)
+        after = np.repeat(np.arange(1, rows + 3, dtype=np.int32)[:, None], n, 1)
+        before = after - 2
+        flat_sym, flat_to, flat_after, flat_before = (x.reshape(-1) for x in (sym, to, after, before))
+        own = column
+        while True:
+            best, at = rank[1].copy(), np.ones(rank.shape[1], np.int64)
+            for r in range(2, rows):
+                less = rank[r] < best
+                np.copyto(best, rank[r], where=less)
+                at[less] = r
+            live = best < NONE
+            m = int(live.sum())
+            if not m:
                 break
-            i = agenda.index(best)
-            if limit and self.skips(key, at[i], at[i + 1], at[i + 2]):
-                agenda[i] = none
-                if met is not None:
-                    met.append((at[i] << 42 | at[i + 1] << 21 | at[i + 2]) * 2 + 1)
-                continue
-            if met is not None:
-                met.append((at[i] << 42 | at[i + 1] << 21 | at[i + 2]) * 2)
-            parts[i] += parts[i + 1]
-            del parts[i + 1], at[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = score(parts[i] + parts[i + 1], none)
-            if i:
-                agenda[i - 1] = score(parts[i - 1] + parts[i], none)
-        return parts
-
-    def _long(self, unit: str, key: int, met: list[int] | None = None, plain: bool = False) -> list[str]:
-        """The agenda as a heap, for long runs without white space."""
-        score, n, limit = self.score, len(unit), 0 if plain else self.limit
-        end, prev = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        agenda = [(-s, i, i + 1, i + 2) for i in range(n - 1) if (s := score.get(unit[i : i + 2])) is not None]
+            if m < len(live):
+                rank, at, own = np.ascontiguousarray(rank[:, live]), at[live], own[live]
+            here = np.arange(m)
+            i = at * n + own
+            j = flat_after[i]
+            fj = j * n + own
+            k = flat_after[fj]
+            fk = k * n + own
+            p = flat_before[i]
+            fp = p * n + own
+            got = flat_to[i]
+            flat_sym[i] = got
+            flat_sym[fj] = -1
+            flat_after[i] = k
+            flat_before[fk] = at
+            rank[j, here] = NONE
+            end = flat_after[np.minimum(fk, (rows + 1) * n + own)]
+            key = keys[own]
+            r, t = self._candidates(
+                np.concatenate([key, key]), np.concatenate([flat_sym[fp], got]), np.concatenate([got, flat_sym[fk]]),
+                np.concatenate([p - 1, at - 1]), np.concatenate([at - 1, k - 1]), np.concatenate([k - 1, end - 1]),
+            )
+            rank[p, here], rank[at, here] = r[:m], r[m:]
+            flat_to[fp], flat_to[i] = t[:m], t[m:]
+        symbols[(start + place - 1)[inside]] = sym[1:-1][inside]
+
+    @functools.cached_property
+    def table(self) -> dict[int, int]:
+        there = self.keys >= 0
+        return dict(zip(self.keys[there].tolist(), self.values[there].tolist()))
+
+    def _heap(self, symbols: np.ndarray, key: np.uint64) -> None:
+        """One word's agenda as a heap, for long runs without white space."""
+        n = len(symbols)
+        sym, end, prev = [*symbols.tolist(), self.pad], list(range(1, n + 1)), list(range(-1, n - 1))
+        places = np.arange(n - 1)
+        rank, to = self._candidates(np.full(n - 1, key, U64), symbols[:-1], symbols[1:], places, places + 1, places + 2)
+        agenda = [(int(rank[x]), x, x + 1, x + 2, int(to[x])) for x in np.flatnonzero(rank < NONE).tolist()]
         heapq.heapify(agenda)
+        limit, own, table = self.limit, int(key), self.table
         while agenda:
-            _, left, right, to = heapq.heappop(agenda)
-            if not alive[left] or end[left] != right or not alive[right] or end[right] != to:
-                continue
-            skip = limit and self.skips(key, left, right, to)
-            if met is not None:
-                met.append((left << 42 | right << 21 | to) * 2 + bool(skip))
-            if skip:
+            _, i, j, k, to = heapq.heappop(agenda)
+            if sym[i] < 0 or end[i] != j or sym[j] < 0 or end[j] != k:
                 continue
-            end[left], alive[right] = to, False
-            if to < n:
-                prev[to] = left
-                if (s := score.get(unit[left : end[to]])) is not None:
-                    heapq.heappush(agenda, (-s, left, to, end[to]))
-            if (p := prev[left]) >= 0 and (s := score.get(unit[p:to])) is not None:
-                heapq.heappush(agenda, (-s, p, left, to))
-        out, i = [], 0
-        while i < n:
-            out.append(unit[i : end[i]])
-            i = end[i]
-        return out
+            sym[i], sym[j], end[i] = to, -1, k
+            new = []
+            if k < n:
+                prev[k] = i
+                new.append((i, k, end[k]))
+            if prev[i] >= 0:
+                new.append((prev[i], i, k))
+            for a, b, c in new:
+                if (piece := table.get(sym[a] << _WIDE | sym[b])) is not None:
+                    x = (own ^ (a << 42 | b << 21 | c)) * 0x9E3779B97F4A7C15 & _M64
+                    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _M64
+                    if not x ^ x >> 32 < limit:
+                        heapq.heappush(agenda, (int(self.rank[piece]), a, b, c, piece))
+        symbols[:] = sym[:n]
 
-    def units(self, text: str) -> list[str]:
-        text = text.replace(MARK, _OWN_MARK).replace("\x1f", _OWN_SEP)
-        if "  " in text or text[0] == " ":
-            marked = MARK + text.replace(" ", MARK)
-            return [u for u in re.findall(rf"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+", marked)]
-        return (MARK + text).replace(" ", "\x1f" + MARK).replace("\n", "\x1f\n\x1f").split("\x1f")
+    def encode_all(self, data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of texts that lie one after another as UTF-8 in data."""
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        if not data.max() < 128:
+            offsets = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        full = np.diff(offsets) > 0
+        points = np.insert(points, offsets[:-1][full], 32)  # the mark before each text
+        offsets = offsets + np.concatenate([[0], np.cumsum(full)])
+        points = np.where(points == 0x2581, np.uint32(_OWN_MARK), points)
+        mark, line = points == 32, points == 10
+        new = line | mark
+        new[1:] &= ~(mark[1:] & mark[:-1])
+        new[1:] |= line[:-1]
+        first = offsets[:-1][full]
+        new[first] = True
+        start = np.flatnonzero(new)
+        length = np.diff(np.append(start, len(points)))
+        doc = np.searchsorted(offsets[1:], start, "right")
+        word = np.arange(len(start)) - np.searchsorted(start, offsets[:-1], "left")[doc]
+        keys = self.keys_of(docs[doc], word)
+        symbols = self.letter[points]
+        order = np.argsort(length, kind="stable")
+        size, at = length[order], int(np.searchsorted(length[order], 1, "right"))
+        while at < len(order) and size[at] <= SHORT:
+            rows = int(size[at])
+            rows = rows if rows <= 16 else 24 if rows <= 24 else SHORT
+            to = min(int(np.searchsorted(size, rows, "right")), at + AT_ONCE)
+            own = order[at:to]
+            self._columns(symbols, start[own], length[own], keys[own], rows)
+            at = to
+        for w in order[at:].tolist():
+            self._heap(symbols[start[w] : start[w] + length[w]], keys[w])
+        left = symbols >= 0
+        counts = np.concatenate([[0], np.cumsum(left)])
+        symbols, points = symbols[left], points[left]
+        ends = counts[offsets]
+        raw = np.flatnonzero(symbols >= self.n)
+        if len(raw):
+            wide, letters = utf8(np.where(points[raw] == _OWN_MARK, 0x2581, points[raw]))
+            more = np.ones(len(symbols), np.int64)
+            more[raw] = wide
+            to = np.cumsum(more) - more
+            out = np.empty(int(more.sum()), np.int32)
+            out[to] = symbols
+            for j in range(4):
+                some = wide > j
+                out[to[raw[some]] + j] = self.byte_id[letters[some, j]]
+            return out, np.append(to, len(out))[ends]
+        return symbols.astype(np.int32), ends
 
     def encode(self, doc: int, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint16)
-        units, known = self.units(text), self.known
-        found = [known.get(u) or self.learn(u) for u in units]
-        parts = [f[2] for f in found]
-        if self.limit:
-            keys = mixed(np.arange(len(units), dtype=U64) * U64(0x9E3779B97F4A7C15) + U64((doc * 0xC2B2AE3D27D4EB4F + self.seed) & _M64))
-            count = np.array([f[1] for f in found])
-            unit = np.repeat(np.arange(len(units)), count)
-            at = np.flatnonzero(self.skipped(keys[unit], np.frombuffer(b"".join([f[0] for f in found]), U64)))
-            own, first = np.unique(unit[at], return_index=True)
-            first = at[first] - (np.cumsum(count) - count)[own]
-            for i, k, f in zip(own.tolist(), keys[own].tolist(), first.tolist()):
-                parts[i] = self.dropped(units[i], k, f)
-        return np.frombuffer(b"".join(parts), np.uint16)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.encode_all(raw, np.array([0, len(raw)]), np.array([doc]))[0]
+
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids of texts one after another, each with the space that its mark stands for."""
+        width = self.width[ids]
+        end = np.cumsum(width)
+        return self.flat[np.repeat(self.first[ids] - end + width, width) + np.arange(int(end[-1]) if len(end) else 0)]
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join([self.bytes[i] for i in ids.tolist()])
-        return raw[1:].decode()  # the mark before the first word
+        return self.decoded(np.asarray(ids, np.int64)).tobytes()[1:].decode()
 
 
 @functools.lru_cache(maxsize=2)
 def _codec(model: str, rate: float, seed: int) -> PieceCodec:
-    """One for each worker process, so that later tasks find the words of earlier ones."""
+    """One for each worker process, as reading a model takes longer than many a batch."""
     return PieceCodec(model, rate, seed)
 
 
@@ -215,14 +308,18 @@ def _coder(model: str, rate: float, seed: int, keep_ids: bool):
     def run(batches):
         codec = _codec(model, rate, seed)
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = text or ""
-                ids = codec.encode(doc or 0, text)
-                row = (doc, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), codec.decode(ids) == text, ids.astype(np.int32) if keep_ids else None)
-                for k, v in zip(out, row):
-                    k.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, schema.types)], schema=schema)
+            data, offsets = text_buffer(batch.column(1))
+            docs = batch.column(0).fill_null(0).to_numpy()
+            for i, j in passes(offsets, 1 << 20):
+                raw, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                ids, ends = codec.encode_all(raw, at, docs[i:j])
+                back, wide = codec.decoded(ids), np.concatenate([[0], np.cumsum(codec.width[ids])])[ends]
+                whole, words = raw.tobytes(), ids.astype("<u4")
+                same = [b == a or back[a:b].tobytes() == b" " + whole[c:d] for a, b, c, d in zip(wide[:-1].tolist(), wide[1:].tolist(), at[:-1].tolist(), at[1:].tolist())]
+                same = np.array(same) & ((np.diff(ends) > 0) == (np.diff(at) > 0))
+                crc = [zlib.crc32(words[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))] * keep_ids
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(ends)), pa.array(crc, pa.int64()), pa.array(same), *lists], schema=schema)
 
     return run
 
