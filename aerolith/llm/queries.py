@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import dac, decontaminate, htmltext, jaccard, multiindex, pieces, quality, sharding, suffixes, urlrules
 from .common import table
 
-TOKENIZERS = "/opt/tokenizers"
-BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+BYTE_BPE, PIECE_BPE = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +21,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encoded(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{PIECE_BPE}")
+    return pieces.encoded(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dac.read_token_files(dac.write_token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{BYTE_BPE}"))
+    return dac.read_token_files(spark, dac.write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +52,6 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judged_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
-
-
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_piece_dropout, op4_token_files, op5_embedding_dedup, op6_suffix_dedup, op7_html_extraction, op8_quality, op9_sharding, op10_url_filters)}
 
 _ABC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

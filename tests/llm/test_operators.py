@@ -11,9 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.llm import common, dac, decontaminate, htmltext, jaccard, multiindex, pieces, quality, sharding, suffixes, urlrules
+from aerolith.llm import common, decontaminate, htmltext, jaccard, multiindex, quality, sharding, suffixes, urlrules
 
-BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 DOCS = "doc_id long, text string, lang string, h long, n long, items string, size long"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -149,79 +148,6 @@ def test_banding_reaches_the_recall():
     assert 1 - (1 - 0.8**r) ** b >= 0.9999
 
 
-# ---------------------------------------------------------------- 3
-
-
-def test_pieces(spark, texts):
-    import sentencepiece
-
-    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
-    plain = pieces.PieceCodec(PIECE_BPE, 0.0)
-    for t in texts:
-        if t and "▁" not in t:
-            assert plain.encode(0, t).tolist() == sp.encode(t)
-    got = pieces.encoded(frame(spark, texts), PIECE_BPE, rate=0.3, keep_ids=True).collect()
-    assert len(got) == len(texts) and all(r.lossless for r in got)
-    by = {r.doc_id: r.ids for r in got}
-    assert by[0] == [] and by[1] == [] and len(by[5]) > len(plain.encode(0, texts[5]))
-    again = pieces.encoded(frame(spark, texts), PIECE_BPE, rate=0.3, keep_ids=True).collect()
-    other = pieces.encoded(frame(spark, texts), PIECE_BPE, rate=0.3, seed=2, keep_ids=True).collect()
-    assert {r.doc_id: r.ids for r in again} == by != {r.doc_id: r.ids for r in other}
-    codec = pieces.PieceCodec(PIECE_BPE, 0.3)
-    for u in codec.units(texts[5]) + ["▁" + "abcd" * 15]:
-        assert codec._short(u, 99) == codec._long(u, 99)
-
-
-@pytest.mark.parametrize("rate", [0.1, 0.5, 1.0])
-def test_each_occurrence_draws_for_itself(rate):
-    codec, plain = pieces.PieceCodec(PIECE_BPE, rate, most=300), pieces.PieceCodec(PIECE_BPE, 0.0)
-    text = " ".join(["international", "house", "cat", "abcd" * 15] * 300)
-    units = codec.units(text)
-    for doc in (3, 4):
-        mask = (1 << 64) - 1
-        keys = common.mixed(np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((doc * 0xC2B2AE3D27D4EB4F + codec.seed) & mask)).tolist()
-        own = [np.frombuffer(codec.segment(u, k), np.uint16).tolist() for u, k in zip(units, keys)]
-        ids = codec.encode(doc, text)
-        assert ids.tolist() == [i for x in own for i in x] and codec.decode(ids) == text
-        kinds = [len({tuple(x) for x in own[k::4]}) for k in range(4)]
-        assert rate == 1 and kinds == [1] * 4 or kinds[0] > 4 and kinds[3] > 4 and min(kinds) > 1
-    if rate == 1:
-        assert all(len(x) >= len(u) for x, u in zip(own, units))
-    assert len(ids) > len(plain.encode(4, text))
-
-
-# ---------------------------------------------------------------- 4
-
-
-def test_token_codes():
-    rng = np.random.default_rng(1)
-    for n in (0, 1, 511, 512, 513, 3000):
-        for bits in (8, 16):
-            ids = rng.choice([0, 1, 255, 256, 50256, 65535, 65536, 2**32 - 1], n).astype(np.uint32)
-            seg = dac.Segment(dac.encode_ids(ids, bits))
-            assert (seg.all() == ids).all() and len(seg) == n
-            assert all(seg[i] == ids[i] for i in range(0, n, 37))
-
-
-def test_token_files(spark, texts):
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(BYTE_BPE)
-    got = {r.doc_id: r for r in dac.read_token_files(dac.write_token_files(frame(spark, texts), BYTE_BPE, segment_ids=500)).collect()}
-    start = 0
-    for i, t in enumerate(texts):
-        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
-        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
-        start += len(ids)
-    assert dac.read_token_files(dac.write_token_files(frame(spark, texts).limit(0), BYTE_BPE)).count() == 0
-
-
-def test_cached_encoder_equals_the_library():
-    enc = dac.CachedEncoder(BYTE_BPE, most=5)
-    odd = ["", " ", "a b", " a", "a ", "\na", "a\n", "a\nb c", "a \n b", "don't  's", "x's y's", "a\u00a0b", "a\u2003b", "日本 語", "a\x1fb", "1 22\n333 !? 'll", "tab\tb", "\u00a0 x"]
-    assert enc.encode(odd) == enc.whole(odd)
-
-
 # ---------------------------------------------------------------- 5
 
 
