@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm import decontaminate, jaccard, pieces, quality, suffixes
 from aerolith.llm.common import stored, table, with_row_number
-from aerolith.llm.queries import PIECE_BPE, TOKENIZERS
+from aerolith.llm.queries import PIECE_BPE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -42,7 +42,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
-    return pieces.encoded(docs, f"{TOKENIZERS}/{PIECE_BPE}", keep_ids=True)
+    return pieces.encoded(docs, PIECE_BPE, keep_ids=True)
 
 
 STAGES = [("quality", good), ("near_duplicates", distinct), ("suffix_dedup", unrepeated), ("decontamination", uncontaminated), ("pieces", encoded)]
