@@ -2,8 +2,10 @@
 
 Bands and rows follow from the target recall at the threshold (1 - (1 - s^r)^b). Documents with the same words in the
 same order are one class, a node of its own with the text of one of its rows, named by its smallest id. Buckets with the same members in several bands are verified
-once; a pair is counted in the first band on which it agrees. Large buckets are cut into blocks that meet pair by pair,
-so no task holds a whole hot group; inside a task only counts per document and a spanning forest leave, never all pairs.
+once; a pair is counted in the first band on which it agrees. A large bucket is cut into blocks, each verified where its
+texts are and packed into one row of n-gram sets; these rows then meet pair by pair, so no task holds a whole hot group and
+no text is shipped more than once for a bucket. Only counts per document and a spanning forest leave a task, never all pairs.
+Exact link counts make the comparisons, not the rows of texts, grow with the square of a group of different near copies.
 
 Defined cases: a document of fewer words than a shingle has one shingle, of all its words; a document without words
 (null, empty) has none, links with nothing and is a class of its own; a null id is returned with no links and null ids;
@@ -126,46 +128,87 @@ def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _verifier(n: int, threshold: float):
-    limit = Fraction(str(threshold))
-    p, q = limit.numerator, limit.denominator
-    schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+def _linked(left: np.ndarray, right: np.ndarray, bands: np.ndarray, band: int, node: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(node, links, root) of the rows that have any of these pairs, of those that first agree on this band."""
+    step = max(1, 4_000_000 // bands.shape[1])
+    own = np.concatenate([np.argmax(bands[left[i : i + step]] == bands[right[i : i + step]], axis=1) == band for i in range(0, len(left), step)]) if len(left) else np.zeros(0, bool)
+    left, right = left[own], right[own]
+    order = np.argsort(node, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    got = np.zeros(len(node), np.int64)
+    np.add.at(got, left, weight[right])
+    np.add.at(got, right, weight[left])
+    root = node[order][local_roots(len(node), rank[left], rank[right])[rank]]
+    some = got > 0
+    return node[some], got[some], root[some]
+
+
+def _near(sets: list[np.ndarray], p: int, q: int) -> np.ndarray:
+    size = np.array([len(s) for s in sets])
+    both = overlaps(sets) if len(sets) > 1 else np.zeros((1, 1), np.int64)
+    return np.triu(both * q >= p * (size[:, None] + size[None, :] - both), 1)
+
+
+_LINKS = [("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]
+
+
+def _inside(n: int, threshold: float):
+    """Links inside each block; blocks of a bucket of several leave as one packed row each, too."""
+    p, q = Fraction(str(threshold)).as_integer_ratio()
+    schema = pa.schema([*_LINKS, ("key", pa.int64()), ("blk", pa.int32()), ("g", pa.int32()), ("pack", pa.binary())])
 
     def verify(batches):
-        ids, links, roots = [], [], []
-        for (_, a, b), t in stream_groups(batches, ["key", "a", "b"]):
+        held: list[tuple] = []
+
+        def out():
+            rows = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.nulls(len(rows[0]), t) for t in schema.types[3:])], schema=schema)
+
+        for _, t in stream_groups(batches, ["key", "blk"]):
             data, offsets = text_buffer(t.column("text"))
             _, _, h, at = scan_words(data, offsets)
             sets = [np.unique(shingles(h[at[d] : at[d + 1]], n)) for d in range(len(at) - 1)]
-            size = np.array([len(s) for s in sets])
-            both = overlaps(sets) if len(sets) > 1 else np.zeros((1, 1), np.int64)
-            near = np.triu(both * q >= p * (size[:, None] + size[None, :] - both), 1)
-            block = t.column("blk").to_numpy()
-            if a != b:  # pairs inside one block are counted where that block meets itself
-                near &= block[:, None] != block[None, :]
-            left, right = np.nonzero(near)
             bands = np.array(t.column("bands").combine_chunks().flatten()).reshape(len(sets), -1)
-            step = max(1, 4_000_000 // bands.shape[1])
-            band = t.column("band")[0].as_py()
-            own = np.concatenate([np.argmax(bands[left[i : i + step]] == bands[right[i : i + step]], axis=1) == band for i in range(0, len(left), step)]) if len(left) else np.zeros(0, bool)
-            left, right = left[own], right[own]
-            if not len(left):
+            node, weight, band = t.column("node").to_numpy(), t.column("size").to_numpy(), t.column("band")[0].as_py()
+            left, right = np.nonzero(_near(sets, p, q))
+            held.append(_linked(left, right, bands, band, node, weight))
+            if sum(len(x[0]) for x in held) > 50_000:
+                yield out()
+            if (g := t.column("g")[0].as_py()) > 1:
+                sizes = np.array([len(s) for s in sets], np.int64)
+                pack = b"".join(x.astype(np.int64).tobytes() for x in (np.array([len(sets), bands.shape[1], band]), node, weight, bands.ravel(), sizes)) + np.concatenate(sets).tobytes()
+                row = [None, None, None, t.column("key")[0].as_py(), t.column("blk")[0].as_py(), g, pack]
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, schema.types)], schema=schema)
+        if held:
+            yield out()
+
+    return verify
+
+
+def _unpacked(pack: bytes) -> tuple:
+    x = np.frombuffer(pack, np.int64)
+    n, wide, band = x[:3].tolist()
+    cuts = np.cumsum([3, n, n, n * wide, n])
+    node, weight, bands, sizes = (x[a:b] for a, b in zip(cuts, cuts[1:]))
+    return node, weight, bands.reshape(n, wide), band, np.split(x[cuts[-1] :].view(np.uint64), np.cumsum(sizes)[:-1])
+
+
+def _between(threshold: float):
+    """Links between two blocks of a bucket."""
+    p, q = Fraction(str(threshold)).as_integer_ratio()
+    schema = pa.schema(_LINKS)
+
+    def verify(batches):
+        for _, t in stream_groups(batches, ["key", "a", "b"]):
+            if t.num_rows < 2:  # no text fell into the other block
                 continue
-            node, weight = t.column("node").to_numpy(), t.column("size").to_numpy()
-            order = np.argsort(node, kind="stable")
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            got = np.zeros(len(node), np.int64)
-            np.add.at(got, left, weight[right])
-            np.add.at(got, right, weight[left])
-            root = node[order][local_roots(len(node), rank[left], rank[right])[rank]]
-            some = got > 0
-            ids.append(node[some]), links.append(got[some]), roots.append(root[some])
-            if sum(map(len, ids)) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, links, roots)], schema=schema)
-                ids, links, roots = [], [], []
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, links, roots)], schema=schema)
+            one, two = (_unpacked(x.as_py()) for x in t.column("pack"))
+            node, weight, bands = (np.concatenate([one[k], two[k]]) for k in range(3))
+            near = _near(one[4] + two[4], p, q)
+            left, right = np.nonzero(near[: len(one[4]), len(one[4]) :])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _linked(left, right + len(one[4]), bands, one[3], node, weight)], schema=schema)
 
     return verify
 
@@ -190,13 +233,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .select("key", "band", F.greatest(F.ceil(F.col("n") / block_docs), F.ceil(F.col("words") / block_words), F.lit(1)).cast("int").alias("g"))
     )
     members = spread.drop("n_words", "band").join(buckets, "key").withColumn("blk", F.pmod(F.xxhash64("node", "key"), F.col("g")).cast("int"))
-    met = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select("key", "band", "node", "blk", F.least("blk", "o").alias("a"), F.greatest("blk", "o").alias("b"))
     needed = reps.select("id", "n_words", "d1", "d2", "node").join(members.select("node").distinct(), "node")
     keyed = base.where("id is not null").select("id", "text").mapInArrow(_keyer(shingle), "id long, n_words long, d1 long, d2 long, text string")
     texts = keyed.join(needed, ["id", "n_words", "d1", "d2"]).select("node", "text").dropDuplicates(["node"])
-    rows_in = met.join(reps.select("node", "size", "bands"), "node").join(texts, "node")
-    parts = rows_in.select("key", "a", "b", "blk", "band", "node", "size", "bands", "text").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
-    found = stored(parts.mapInArrow(_verifier(shingle, threshold), "node long, links long, root long"), "links")
+    rows_in = members.join(reps.select("node", "size", "bands"), "node").join(texts, "node")
+    parts = rows_in.select("key", "blk", "g", "band", "node", "size", "bands", "text").repartition("key", "blk").sortWithinPartitions("key", "blk", "node")
+    inside = stored(parts.mapInArrow(_inside(shingle, threshold), "node long, links long, root long, key long, blk int, g int, pack binary"), "links")
+    packed = inside.where("pack is not null").select("key", "blk", "g", "pack")
+    met = packed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).where("o <> blk").select("key", F.least("blk", "o").alias("a"), F.greatest("blk", "o").alias("b"), "blk", "pack")
+    between = met.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "blk").mapInArrow(_between(threshold), "node long, links long, root long")
+    found = stored(inside.where("pack is null").select("node", "links", "root").unionByName(between), "links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     comp = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     comp = stored(comp.withColumnRenamed("component", "top").join(reps.select("node", "id"), "node"), "components")
