@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,9 +19,11 @@ PASS_BYTES = 1 << 19
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the cluster names; a temporary folder only where none is named (tests)."""
+    """A new path in the shared folder that the cluster names; a temporary folder only in a single process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="aerolith-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/aerolith/{name}-{uuid.uuid4().hex}"
@@ -33,6 +36,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a stored() table that nothing will read again."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if "/aerolith/" in folder:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def with_row_number(df: DataFrame, name: str) -> DataFrame:
     """Adds a number of each row that is the same in each scan: of its place in its file, or stored for other rows."""
     try:
@@ -201,11 +214,12 @@ def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- connected components
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Edges (u long, v long) to (node, component = smallest node reached), for each node of an edge.
 
     Alternating large-star and small-star rounds; minima are pre-aggregated, joins may be split by skew handling, and
-    each round is a table in the shared folder. It ends when a round changes nothing; loops and repeats are harmless.
+    each round is a table in the shared folder, whose predecessor then goes. It ends when a round changes nothing, as it must: parents only
+    become smaller. Loops and repeats are harmless.
     """
     e = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
 
@@ -222,14 +236,12 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(7)))).first())
 
     was = digest(e)
-    for _ in range(rounds):
-        if not was[0]:
-            break
-        e = stored(star(star(e, True), False), "edges")
-        if (now := digest(e)) == was:
+    while was[0]:
+        before, e = e, stored(star(star(e, True), False), "edges")
+        now = digest(e)
+        discard(before)
+        if now == was:
             break
         was = now
-    else:
-        raise RuntimeError("components did not settle")
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

@@ -12,6 +12,7 @@ other columns of the inputs are not looked at, whatever their names; a null item
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -113,27 +114,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """(doc_id, n_words, runs, items) for each row of docs; runs are the maximal hit runs [first, end) of word numbers.
 
     With one block (a benchmark of up to some 12 MB) this is a map over the texts. With more, the rows are stored with
-    a number, by which their runs are united.
+    a number, by which their runs are united; blocks are broadcast, scanned for and released one after another.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
     id_type = pa.int64() if kind.typeName() in ("long", "integer", "short") else pa.string()
     base = docs.select(F.col(id_col).cast("long" if id_type == pa.int64() else "string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = f"doc_id {'long' if id_type == pa.int64() else 'string'}, n_words long, runs array<array<long>>, items array<string>"
-    blocks = list(benchmark_blocks(benchmark, item_col, item_text_col, block_words))
-    parts = []
-    many = len(blocks) > 1
-    if many:  # the same rows must meet again
-        base = stored(base.withColumn("row", F.monotonically_increasing_id()), "numbered")
-        schema += ", row long"
-    for items in blocks:
+    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_words)
+    first, second = next(blocks), next(blocks, None)
+    shared = spark.sparkContext.broadcast(window_table(first, window))
+    if second is None:
+        return base.mapInArrow(_scanner(shared, id_type, False), schema)
+    base = stored(base.withColumn("row", F.monotonically_increasing_id()), "numbered")  # the same rows must meet again
+    united = None
+    for items in chain([first, second], blocks):  # one block's items and table are held at a time
         shared = spark.sparkContext.broadcast(window_table(items, window))
-        parts.append(base.mapInArrow(_scanner(shared, id_type, many), schema))
-    if not many:
-        return parts[0]
-    united = parts[0]
-    for p in parts[1:]:
-        united = united.unionByName(p)
+        found = stored(base.mapInArrow(_scanner(shared, id_type, True), schema + ", row long"), "block-hits")
+        shared.destroy()
+        united = found if united is None else united.unionByName(found)
     merged = united.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
     step = "aggregate(runs, cast(array() as array<array<long>>), (a, r) -> if(size(a) > 0 and r[0] <= element_at(a, -1)[1], concat(slice(a, 1, size(a) - 1), array(array(element_at(a, -1)[0], greatest(element_at(a, -1)[1], r[1])))), concat(a, array(r))))"
     return merged.withColumn("runs", F.expr(step))
