@@ -2,7 +2,10 @@
 
 A page becomes its leaf blocks, runs of text between block-level tags, with the open tags, classes and ids above each.
 Features of ancestors and text feed a chain with two labels, boilerplate and article, that is trained by maximum
-likelihood on labelled pages and decoded by Viterbi. Scripts, styles, comments and the head's markup are no text.
+likelihood on labelled pages and decoded by Viterbi. Names that training never saw have no weight: such blocks are told by
+whether they stand in the page's article or main part, or else by their container's part in the page. Scripts, styles, comments and the head's markup are no text.
+
+A page costs time in proportion to its length: tags end at a bounded search, and a block's ancestors are a set that siblings share.
 
 Defined cases: null and empty html give an empty text; tags may be unclosed, nested wrongly or cut off at the end; a
 "<" that starts no tag is text; pages of any length are read whole; repeated rows are read one by one.
@@ -10,80 +13,112 @@ Defined cases: null and empty html give an empty text; tags may be unclosed, nes
 
 from __future__ import annotations
 
+import collections
 import functools
 import html
 import random
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(r"""<!--|<(?:!|\?)[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
+_OPEN = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r"""["'>]""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW = frozenset("script style textarea title noscript iframe template svg math".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("html head body address article aside blockquote button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
+_HOLDS = frozenset("body article main section div aside td".split())
 _CLOSES_P = _BLOCK - {"html", "head", "body", "button", "label", "option", "select", "td", "th", "tr", "caption", "legend", "summary"}
 _SELF = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 
 
-def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """(text, open tags with their class and id names, characters inside links) of each block, in page order."""
-    out: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def tags(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """(text before, tag, whether it closes, attributes) of each tag, the last with what follows it; in linear time.
+
+    Quotes hide a ">", until a quote that never ends: from there on, a tag ends at its first ">".
+    """
+    at, text, n, quotes, last = 0, 0, len(page), True, page.rfind(">")
+    while at < n and (m := _OPEN.search(page, at)):
+        if m.start() > last:
+            break
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            yield page[text : m.start()], "", False, ""
+            at = text = n if end < 0 else end + 3
+            continue
+        end = page.find(">", m.end())
+        if m[2] and quotes:
+            k = m.end()
+            while (s := _STOP.search(page, k)) and s[0] != ">":
+                if (k := page.find(s[0], s.end()) + 1) == 0:
+                    s = None
+                    break
+            if s:
+                end = s.start()
+            else:
+                quotes = False
+        tag, shut, rest = (m[2] or "").lower(), bool(m[1]), page[m.end() : end] if m[2] else ""
+        yield page[text : m.start()], tag, shut, rest
+        at = text = end + 1
+        if tag in _RAW and not shut and not rest.endswith("/"):
+            close = re.compile(rf"</{tag}\b", re.I).search(page, at)
+            end = page.find(">", close.end()) if close else -1
+            at = text = n if end < 0 else end + 1
+    yield page[text:], "", False, ""
+
+
+class Block(NamedTuple):
+    text: str
+    names: frozenset[str]  # open tags, and their class and id names with a dot before
+    leaf: str  # the innermost open tag
+    linked: int  # characters inside links
+    holder: int  # number of the nearest container
+
+
+def leaf_blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
+    """Each block in page order; names only of those known, where given, so that a block costs no more however deep it lies."""
+    out: list[Block] = []
+    none: frozenset[str] = frozenset()
+    stack: list[tuple[str, frozenset[str], int]] = []
     parts: list[str] = []
-    linked, link, at, n = 0, 0, 0, len(page)
+    open_tags: collections.Counter[str] = collections.Counter()
+    linked, holders = 0, 0
 
     def close():
         nonlocal parts, linked
         if parts and (text := " ".join("".join(parts).split())):
-            path = [x for tag, names in stack for x in (tag, *names)]
-            out.append((text, tuple(path), min(linked, len(text))))
+            leaf, names, holder = stack[-1] if stack else ("", none, 0)
+            out.append(Block(text, names, leaf, min(linked, len(text)), holder))
         parts, linked = [], 0
 
-    def say(raw: str):
-        nonlocal linked
+    def pop(i: int):
+        for tag, _, _ in stack[i:]:
+            open_tags[tag] -= 1
+        del stack[i:]
+
+    for raw, tag, shut, rest in tags(page):
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if link:
+            if open_tags["a"]:
                 linked += len(text)
-
-    def pop(i: int):
-        nonlocal link
-        for tag, _ in stack[i:]:
-            link -= tag == "a"
-        del stack[i:]
-
-    while at < n:
-        m = _TAG.search(page, at)
-        if not m:
-            say(page[at:])
-            break
-        say(page[at : m.start()])
-        at = m.end()
-        if m[0] == "<!--":
-            end = page.find("-->", at)
-            at = n if end < 0 else end + 3
-            continue
-        tag, shut, rest = (m[2] or m[5] or "").lower(), m[1] or m[4], m[3] or m[6] or ""
-        if not tag:
-            continue
-        if not shut and tag in _RAW and not rest.endswith("/"):
-            close_at = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close_at.end() if close_at else n
+        if not tag or tag in _RAW and not shut and not rest.endswith("/"):
             continue
         if tag == "br":
             parts.append(" ")
         if tag in _BLOCK:
             close()
         if shut:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop(i)
-                    break
+            if open_tags[tag]:
+                i = len(stack) - 1
+                while stack[i][0] != tag:
+                    i -= 1
+                pop(i)
             continue
         if tag in _CLOSES_P or tag in _SELF:
             twins = {"p"} if tag in _CLOSES_P else set()
@@ -95,29 +130,45 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                 if stack[i][0] in _BLOCK and stack[i][0] != "p":
                     break
         if tag not in _VOID and not rest.endswith("/"):
-            names = tuple("." + w for v in _NAMES.findall(rest) for w in re.split(r"[^a-z]+", "".join(v).lower()) if w) if rest else ()
-            stack.append((tag, names))
-            link += tag == "a"
+            own = {"." + w for v in _NAMES.findall(rest) for w in re.split(r"[^a-z]+", "".join(v).lower()) if w} if "=" in rest else set()
+            own.add(tag)
+            if known is not None:
+                own &= known
+            _, names, holder = stack[-1] if stack else ("", none, 0)
+            if tag in _HOLDS:
+                holders += 1
+                holder = holders
+            stack.append((tag, names if own <= names else names | own, holder))
+            open_tags[tag] += 1
     close()
     return out
 
 
-def block_features(blocks: list[tuple[str, tuple[str, ...], int]]) -> list[list[str]]:
-    """Names of what holds for each block: its ancestors and its text."""
-    out, seen = [], 0
-    for text, path, linked in blocks:
+def block_features(blocks: list[Block]) -> list[list[str]]:
+    """Names of what holds for each block: its ancestors, its text, and its container's part in the page.
+
+    A container's part is its own unlinked text against the page's largest, and whether the block comes before or after that one.
+    """
+    said: collections.Counter[int] = collections.Counter()
+    for b in blocks:
+        said[b.holder] += len(b.text) - b.linked
+    top, most = max(said.items(), key=lambda kv: (kv[1], -kv[0]), default=(0, 0))
+    inside = {t: any(t in b.names for b in blocks) for t in ("article", "main")}
+    core = next((t for t in ("article", "main") if inside[t]), None)
+    first = next((i for i, b in enumerate(blocks) if b.holder == top), 0)
+    last = next((len(blocks) - 1 - i for i, b in enumerate(reversed(blocks)) if b.holder == top), 0)
+    out = []
+    for i, (text, names, leaf, linked, holder) in enumerate(blocks):
         n = len(text)
-        f = ["bias", *{"in:" + p for p in path}]
-        f.append("len:%d" % min(8, n.bit_length()))
-        f.append("link:%d" % (4 * linked // max(1, n)))
+        size = "%d" % min(8, n.bit_length())
+        where = "core" if core and core in names else "beside" if core else "top" if holder == top else "other"
+        f = ["bias", "len:" + size, "link:%d" % (4 * linked // max(1, n)), "leaf:" + leaf, "where:" + where, "where-len:" + where + size]
+        f += ["in:" + p for p in names]
         f.append("end:" + ("stop" if text[-1] in ".!?…»”\"" else "none"))
         if "©" in text or text.lower().startswith("copyright"):
             f.append("copyright")
-        if path and path[-1][0] != ".":
-            f.append("leaf:" + path[-1])
-        if any(p in ("article", "main") for p in path):
-            f.append("len-in-article:%d" % min(8, n.bit_length()))
-        seen += 1
+        f.append("share:%d" % min(7, 8 * said[holder] // max(1, most)) + where)
+        f.append("side:" + ("before" if i < first else "after" if i > last else "within") + where)
         out.append(f)
     return out
 
@@ -127,6 +178,7 @@ class ChainField:
 
     def __init__(self, names: dict[str, int], weights: np.ndarray, pairs: np.ndarray):
         self.names, self.weights, self.pairs = names, weights, pairs
+        self.known = frozenset(n[3:] for n in names if n.startswith("in:"))
 
     def scores(self, features: list[list[str]]) -> np.ndarray:
         out = np.zeros((len(features), 2))
@@ -233,29 +285,35 @@ def labelled_pages(count: int = 400, seed: int = 4) -> list[str]:
                 body.append(rng.choice([f"<aside class=related><p>{say(3, 30)}</p></aside>", f"<div class='ad'>{say(1, 30)}</div>", f"<form><label>{say(1, 4)}</label><button>{say(1, 2)}</button></form>", f"<nav class=toc><ul>{links(3)}</ul></nav>"]))
         return "".join(body)
 
+    def strange() -> str:
+        return "".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+
     def boiler() -> str:
         return rng.choice([
             f"<nav><ul>{links(rng.randint(1, 8))}</ul></nav>", f"<header class=site><a href='/'>{say(1, 4)}</a><p>{say(2, 20)}</p></header>", f"<aside><h3>{say(1, 4)}</h3><p>{say(3, 60)}</p></aside>",
             f"<div class='ad banner'>{say(2, 40)}</div>", f"<div class='ad'>{say(2, 40)}</div>", f"<div class='cookie notice'><p>{say(4, 40)}</p><button>{say(1, 2)}</button></div>", f"<div id='sidebar'><p>{say(3, 40)}</p></div>", f"<form><label>{say(1, 3)}</label></form>",
+            f"<div class='{strange()}'><p>{say(2, 40)}</p></div>", f"<section id='{strange()}'><h2>{say(1, 4)}</h2><p>{say(2, 60)}</p></section>", f"<div class='{strange()}'>{say(2, 30)}</div>",
         ])
 
     def comments() -> str:
-        return f"<{(t := rng.choice(['section', 'div']))} {rng.choice(['class', 'id'])}='comments'><h2>{say(1, 3)}</h2>" + "".join(f"<div class='comment'><p>{say(2, 80)}</p></div>" for _ in range(rng.randint(1, 5))) + f"</{t}>"
+        name = rng.choice(["comments", "comments", strange()])
+        return f"<{(t := rng.choice(['section', 'div']))} {rng.choice(['class', 'id'])}='{name}'><h2>{say(1, 3)}</h2>" + "".join(f"<div class='{rng.choice(['comment', strange()])}'><p>{say(2, 80)}</p></div>" for _ in range(rng.randint(1, 5))) + f"</{t}>"
 
     out = []
     for _ in range(count):
         shape = rng.random()
         head, tail = "".join(boiler() for _ in range(rng.randint(0, 4))), "".join(boiler() for _ in range(rng.randint(0, 3)))
         core = article()
-        inside = comments() if rng.random() < 0.25 else ""
+        inside = comments() if rng.random() < 0.35 else ""
         if shape < 0.6:
-            core = f"<article>{core}{inside}</article>"
+            named = inside if "comment" in inside else ""
+            core = f"<article>{core}{named}</article>{'' if named else inside}"
         elif shape < 0.75:
             core = f"<main><article>{core}</article>{inside}</main>"
         elif shape < 0.85:
             core = f"<main>{core}</main>{inside}"
         else:
-            core = f"<div class='{rng.choice(['content', 'post', 'entry', 'story', 'article body'])}'>{core}</div>{inside}"
+            core = f"<div class='{rng.choice(['content', 'post', 'entry', 'story', 'article body', strange()])}'>{core}</div>{inside}"
         foot = f"<footer>&copy; {say(1, 6)} &middot; {say(2, 20)}</footer>" if rng.random() < 0.9 else ""
         out.append(f"<html><head><title>{say(2, 8)}</title></head><body>{head}{core}{tail}{foot}</body></html>")
     return out
@@ -265,9 +323,8 @@ def training_example(page: str) -> tuple[list[list[str]], list[int]]:
     """Features and labels; the attribute itself is no feature."""
     marked = re.sub(r"(<\w+) data-keep>", r"\1 class=zzkeep>", page)
     blocks = leaf_blocks(marked)
-    labels = [int(".zzkeep" in path) for _, path, _ in blocks]
-    plain = [(t, tuple(p for p in path if p != ".zzkeep"), link) for t, path, link in blocks]
-    return block_features(plain), labels
+    labels = [int(".zzkeep" in b.names) for b in blocks]
+    return block_features([b._replace(names=b.names - {".zzkeep"}) for b in blocks]), labels
 
 
 @functools.lru_cache(maxsize=1)
@@ -276,8 +333,8 @@ def trained() -> ChainField:
 
 
 def main_text(page: str | None, model: ChainField) -> str:
-    blocks = leaf_blocks(page or "")
-    return "\n\n".join(b[0] for b, keep in zip(blocks, model.viterbi(block_features(blocks))) if keep)
+    blocks = leaf_blocks(page or "", model.known)
+    return "\n\n".join(b.text for b, keep in zip(blocks, model.viterbi(block_features(blocks))) if keep)
 
 
 def _extractor(shared):
