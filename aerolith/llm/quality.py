@@ -110,6 +110,9 @@ class Neighbours:
         cos = self.latent(counts) @ self.vectors.T
         k = min(neighbours, len(self.vectors))
         best = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+        least = np.take_along_axis(cos, best, 1).min(1)
+        for i in np.flatnonzero((cos >= least[:, None]).sum(1) > k):  # ties at the end
+            best[i] = np.argsort(-cos[i], kind="stable")[:k]
         w = np.maximum(np.take_along_axis(cos, best, 1), 0).astype(np.float64) ** 8 + 1e-9
         return (w * self.labels[best]).sum(1) / w.sum(1)
 
@@ -134,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     picked = known.groupBy(F.col(label_id).cast("long").alias("label_id")).agg((F.min(label_col) > 0).cast("int").alias("label")).orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(picked), texts["doc_id"] == picked["label_id"]).select("label", "doc_id", "text")
-    got = rows.mapInArrow(_sparse_rows, "label int, doc_id long, cols binary, counts binary").orderBy("doc_id", "label").limit(sample).collect()
+    got = rows.mapInArrow(_sparse_rows, "label int, doc_id long, cols binary, counts binary").orderBy(F.xxhash64("doc_id", "cols", "counts"), "doc_id", "cols", "counts").limit(sample).collect()
     counts = np.zeros((len(got), TERMS), np.float32)
     for row, r in zip(counts, got):
         row[np.frombuffer(r["cols"], np.int16)] = np.frombuffer(r["counts"], np.float32)
