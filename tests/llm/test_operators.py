@@ -178,6 +178,35 @@ def test_vectors(spark):
     assert multiindex.near_vectors(df.limit(0)).count() == 0
 
 
+def test_traversal_visits_cells_by_distance():
+    x = np.random.default_rng(4).normal(size=(300, 10))
+    index = multiindex.MultiIndex(x, 8, 0.93, 0.99)
+    unit = multiindex.units(x)
+    a, b = index.halves(unit)
+    every = (a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
+    home, reach, cells = index.visits(unit)
+    for d, h, r, c in zip(every, home, reach, cells):
+        assert len(set(c.tolist())) == len(c) and set(c.tolist()) == set(np.flatnonzero(d <= r).tolist()) and c[0] == h
+        assert (np.diff(d[c]) >= 0).all() and h == d.argmin()
+    assert multiindex.words_for(50_000) == 16 and multiindex.words_for(10) == 2 and multiindex.words_for(10**12) == multiindex.WORDS
+
+
+def test_recall_of_planted_links(spark):
+    """Partners at cosines from 0.93 to 0.96 among vectors in all directions."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(6000, 64)).astype(np.float32)
+    unit = multiindex.units(base[:2000].astype(np.float64))
+    side = rng.normal(size=unit.shape)
+    side -= (side * unit).sum(1)[:, None] * unit
+    cos = rng.uniform(0.931, 0.96, len(unit))[:, None]
+    near = (cos * unit + np.sqrt(1 - cos**2) * multiindex.units(side)).astype(np.float32)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([base, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in multiindex.near_vectors(df, words=8).collect()}
+    caught = [got[6000 + i].component_id == i and got[i].n_links >= 1 for i in range(2000)]
+    assert np.mean(caught) >= 0.99
+
+
 # ---------------------------------------------------------------- 6
 
 
@@ -219,6 +248,34 @@ def test_html(spark):
     assert np.mean(right) > 0.97
 
 
+def test_noise_of_names_never_seen():
+    model = htmltext.trained()
+    body = "<h1>Title here</h1><p>" + "Some long sentence of words. " * 10 + "</p><p>" + "More text is here, fine. " * 8 + "</p>"
+    for noise in ("<div class='sponsor'>Buy our thing today.</div>", "<section class='discussion'><p>I think this is great, said the reader.</p></section>", "<div id='responses'><p>Me too, said another reader.</p></div>", "<div class='qzx'>Only today: less.</div>"):
+        for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ("<div class='content'>", "</div>"), ("<div class='wvut'>", "</div>")):
+            out = htmltext.main_text(f"<html><body><nav><a href=/>Home</a></nav>{open_}{body}{close}{noise}<footer>&copy; x</footer></body></html>", model)
+            assert out.startswith("Title here\n\nSome") and out.endswith("fine.") and out.count("\n\n") == 2
+
+
+def test_hostile_pages_cost_linear_time():
+    import time
+
+    model = htmltext.trained()
+    kinds = ["<a ", "<div>a", "</x>", '<a "', "<a \">'", "<script ", "</script <script>", "<p>", "<!--", "<div><a>x</b>", "<a '\">", "&lt", "<div class='qa wb'>"]
+    pages = [k * (1_000_000 // len(k)) for k in kinds] + ["".join(f"<div class=c{i}>a" for i in range(60_000)), "<b " + "class=" * 160_000 + ">x"]
+    for page in pages:
+        start = time.process_time()
+        htmltext.main_text(page, model)
+        assert time.process_time() - start < 12, page[:30]
+
+
+def test_tags_end_where_quotes_allow():
+    read = lambda page: [(t, shut, rest) for _, t, shut, rest in htmltext.tags(page) if t]
+    assert read("<a href='x>y'>b</a>") == [("a", False, " href='x>y'"), ("a", True, "")]
+    assert read("<p title=\"a>b<p>c") == [("p", False, ' title="a'), ("p", False, "")]
+    assert [b.text for b in htmltext.leaf_blocks("1 < 2 <p>x</p><script>'</p>'</script> y <")] == ["1 < 2", "x", "y <"]
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
@@ -255,6 +312,20 @@ def test_quality(spark):
     assert quality.scored(odd.limit(0), labels).count() == 0
 
 
+def test_votes_equal_brute_force():
+    rng = np.random.default_rng(2)
+    counts = rng.poisson(0.4, size=(300, quality.TERMS)).astype(np.float32)
+    counts[150:200] = counts[100:150]  # ties
+    model = quality.Neighbours.fit(counts, rng.integers(0, 2, 300))
+    new = np.concatenate([counts[90:160], rng.poisson(0.4, size=(40, quality.TERMS)).astype(np.float32)])
+    got = model.score(new)
+    cos = model.latent(new) @ model.vectors.T
+    for row, score in zip(cos, got):
+        best = sorted(range(300), key=lambda i: (-row[i], i))[: quality.NEIGHBOURS]
+        w = [max(float(row[i]), 0.0) ** 8 + 1e-9 for i in best]
+        assert abs(score - sum(x * model.labels[i] for x, i in zip(w, best)) / sum(w)) < 1e-5
+
+
 # ---------------------------------------------------------------- 9
 
 
@@ -283,6 +354,26 @@ def test_slot_maps():
     assert abs(sum(sizes[i] for i in two.moved) - sum(sizes) / 9) <= 1000
 
 
+def test_stored_slot_maps(spark, texts, tmp_path):
+    path = f"file://{tmp_path}/map"
+    docs = frame(spark, [f"text {i} " * (i % 90) for i in range(3000)], list(range(3000)))
+    first = {r.doc_id: r for r in sharding.sharded(docs, 4, map_path=path).collect()}
+    held = collections.Counter()
+    for r in first.values():
+        held[r.shard] += r.size
+    assert max(held.values()) - min(held.values()) <= 0.01 * sum(held.values()) and {r.map_version for r in first.values()} == {1}
+    grown = sharding.rebalanced(docs, path)
+    assert sharding.SlotMap.load(spark, path) == grown and sharding.saved_versions(spark, path) and grown.version == 2
+    second = {r.doc_id: r for r in sharding.sharded(docs, 4, map_path=path).collect()}
+    moved = [i for i in first if first[i].shard != second[i].shard]
+    assert moved and {second[i].shard for i in moved} == {4} and all(first[i].virtual_slot == second[i].virtual_slot for i in first)
+    assert {r.doc_id: r.shard for r in sharding.sharded(docs, 4, map_path=path, version=1).collect()} == {i: r.shard for i, r in first.items()}
+    with pytest.raises(ValueError):
+        grown.save(spark, path)
+    nulls = sharding.sharded(frame(spark, [f"t{i}" for i in range(400)], [None] * 400), 4).collect()
+    assert len({r.virtual_slot for r in nulls}) > 300
+
+
 # ---------------------------------------------------------------- 10
 
 
@@ -302,6 +393,40 @@ def test_urls(spark):
     assert urlrules.judged_urls(pages.limit(0), labels).count() == 0
 
 
+def test_mined_rules_equal_brute_force(spark):
+    import itertools
+
+    rng = random.Random(7)
+    rows = []
+    for _ in range(400):
+        items = sorted({f"t{rng.randrange(9)}" for _ in range(rng.randint(1, 5))} | ({"x y", "z"} if rng.random() < 0.2 else set()))
+        rows.append((items, ("t1" in items and "t2" in items or "x y" in items) and rng.random() < 0.9))
+    got = urlrules.mined_rules(spark.createDataFrame(rows, "items array<string>, bad boolean"), least_support=0.02).collect()
+    bads = sum(b for _, b in rows)
+    same = {}  # tokens of the very same urls are one
+    for t in {t for i, _ in rows for t in i}:
+        same.setdefault(tuple(t in i for i, _ in rows), []).append(t)
+    want, tokens = {}, sorted(min(v) for v in same.values())
+    for k in range(1, 6):
+        for c in itertools.combinations(tokens, k):
+            hit = [b for i, b in rows if set(c) <= set(i)]
+            if sum(hit) >= 8 and sum(hit) / len(hit) >= 0.6 and sum(hit) / len(hit) / (bads / 400) >= 1.2:
+                if not any(set(d) < set(c) and want[d] >= sum(hit) / len(hit) - 1e-12 for d in want):
+                    want[c] = sum(hit) / len(hit)
+    assert {tuple(r.tokens): round(r.confidence, 9) for r in got} == {c: round(v, 9) for c, v in want.items()} and len(want) > 2
+    assert all(" " not in t for r in got for t in r.rule_id.split(" ")) and any("x%20y" in r.rule_id for r in got)
+
+
+def test_long_urls_are_mined_in_bounded_time(spark):
+    rng = random.Random(3)
+    urls = ["http://a.test/" + "/".join(f"s{i}" for i in range(40)) + "?" + "&".join(f"k{i}=1" for i in range(40))] * 6
+    urls += [f"http://b{n}.test/" + "/".join(f"s{i}" for i in range(40) if rng.random() < 0.5) for n in range(60)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if i < 6 or i % 2 else 1) for i in range(66)], "doc_id long, quality int")
+    got = urlrules.judged_urls(pages, labels).collect()
+    assert len(got) == 66 and all(r.verdict == "block" for r in got if r.page_id < 6)
+
+
 # ---------------------------------------------------------------- shared
 
 
