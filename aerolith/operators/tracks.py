@@ -73,11 +73,14 @@ def window_speeds(track: DataFrame, least_s: float = 1.0, top: float = 30.0, sla
     return rows.groupBy(key).agg(F.count("*").alias("steps_judged"), F.avg((F.col("far") > top * F.col("span") + slack).cast("double")).alias("discontinuous"), F.max(F.col("far") / F.col("span")).alias("max_speed"))
 
 
-def interpolated(queries: DataFrame, fixes: DataFrame, value: str, key: str = KEY, slack: float | None = None) -> DataFrame:
+def interpolated(queries: DataFrame, fixes: DataFrame, value: str, key: str = KEY, slack: float | None = None, offset: float = 0.0) -> DataFrame:
     """(key, q, value): linear between the fixes around q, held at the ends; null beyond slack where one is given.
 
+    The offset is added to the fixes' times.
+
     An as-of join by one union and two running windows: no row meets more than its neighbours.
     """
+    fixes = fixes.withColumn("t", F.col("t") + offset) if offset else fixes
     fx = fixes.where(F.col(value).isNotNull()).select(key, F.col("t").alias("at"), F.lit(0).alias("kind"), F.struct("t", F.col(value).alias("v")).alias("fix"))
     qs = queries.select(key, F.col("q").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(fx.schema["fix"].dataType).alias("fix"))
     back = Window.partitionBy(key).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
@@ -129,19 +132,85 @@ def cut_proposals(frames: DataFrame, diff: str, window: int, ratio: float, least
     return frames.withColumn("recent", F.coalesce(recent, F.lit(0.0))).where(F.col(diff) > F.greatest(F.lit(least), ratio * F.col("recent")))
 
 
-def keyframes(cands: DataFrame, min_shift: float = 0.10, max_gap: float = 2.0, blur: float = 0.5, key: str = "shot_key") -> DataFrame:
+def keyframes(cands: DataFrame, min_shift: float = 0.10, max_gap: float = 2.0, blur: float = 0.5, key: str = "shot_key", min_move: float | None = None) -> DataFrame:
     """The sharpest candidate of each motion bin, with blurry and gap_before.
 
-    A step is the larger of shift and time as shares of their limits, and 1 where the shift is unknown; bins are whole
-    numbers of summed steps. Ties go to the earlier frame. Expects the column shot.
+    A step is the larger of motion and time as shares of their limits; motion is the way between fixes (e, n, u) where
+    min_move is given and both are known, else the shift, and 1 where that is unknown. Bins are whole numbers of summed steps. Ties go to the earlier frame.
+    A gap is a jump of more than two bins between frames that aren't blurry. Expects the column shot.
     """
+    if min(min_shift, max_gap, min_move or 1.0) <= 0:
+        raise ValueError("limits must be above 0")
     own = Window.partitionBy(key, "shot").orderBy("frame")
-    step = F.when(F.lag("frame").over(own).isNull(), 0.0).when(F.col("shift").isNull(), 1.0).otherwise(F.greatest(F.col("shift") / min_shift, (F.col("t") - F.lag("t").over(own)) / max_gap))
+    move = F.when(F.col("shift").isNull(), 1.0).otherwise(F.col("shift") / min_shift)
+    if min_move:
+        way = F.sqrt(sum((F.pow(F.col(c) - F.lag(c).over(own), F.lit(2)) for c in "nu"), F.pow(F.col("e") - F.lag("e").over(own), F.lit(2))))
+        move = F.coalesce(way / min_move, move)
+    step = F.when(F.lag("frame").over(own).isNull(), 0.0).otherwise(F.greatest(move, (F.col("t") - F.lag("t").over(own)) / max_gap))
     binned = cands.withColumn("__s", step).withColumn("bin", F.floor(F.sum("__s").over(own) + 1e-9).cast("long"))
     best = Window.partitionBy(key, "shot", "bin").orderBy(F.desc("sharpness"), "frame")
     med = binned.groupBy(key, "shot").agg(F.percentile("sharpness", F.lit(0.5)).alias("__m"))
-    kept = binned.withColumn("__r", F.row_number().over(best)).where("__r = 1").join(med, [key, "shot"])
-    return kept.select(key, "shot", "bin", "frame", "t", "sharpness", (F.col("sharpness") < blur * F.col("__m")).alias("blurry"), F.coalesce(F.col("bin") - F.lag("bin").over(own) > 2, F.lit(False)).alias("gap_before"))
+    kept = binned.withColumn("__r", F.row_number().over(best)).where("__r = 1").join(med, [key, "shot"]).withColumn("blurry", F.col("sharpness") < blur * F.col("__m"))
+    last = F.last(F.when(~F.col("blurry"), F.col("bin")), True).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    return kept.select(key, "shot", "bin", "frame", "t", "sharpness", "blurry", (~F.col("blurry") & F.coalesce(F.col("bin") - last > 2, F.lit(False))).alias("gap_before"))
+
+
+def split_at_cuts(cands: DataFrame, cuts: DataFrame, key: str = "shot_key") -> DataFrame:
+    """Adds shot: a candidate opens one when a cut (key, frame) lies after the candidate before it and not after itself.
+
+    Cuts and candidates are one ordered stream, so a cut meets only its neighbours.
+    """
+    both = cands.withColumn("__k", F.lit(1)).unionByName(cuts.select(key, "frame", F.lit(0).alias("__k")), allowMissingColumns=True)
+    before = Window.partitionBy(key).orderBy("frame", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumn("__n", F.sum(1 - F.col("__k")).over(before)).where("__k = 1").drop("__k")
+    w = _by(key, "frame")
+    new = F.coalesce((F.col("__n") > F.lag("__n").over(w)).cast("int"), F.lit(0))
+    return seen.withColumn("__c", new).withColumn("shot", F.sum("__c").over(w).cast("long")).drop("__c", "__n")
+
+
+def segment_choice(cands: DataFrame, choice: str | int = "all", key: str = "shot_key") -> DataFrame:
+    """Candidates of the chosen shots: all, the longest (the first on ties), or the one of a number."""
+    if choice == "all":
+        return cands
+    if choice != "longest":
+        return cands.where(F.col("shot") == int(choice))
+    size = cands.groupBy(key, "shot").agg(F.count("*").alias("__n"))
+    best = size.groupBy(key).agg(F.max_by("shot", F.struct("__n", -F.col("shot"))).alias("shot"))
+    return cands.join(best, [key, "shot"], "left_semi")
+
+
+def every_nth(rows: DataFrame, n: int, key: str = KEY, order: str = ORDER) -> DataFrame:
+    """The first row of each key and every n-th after it."""
+    return rows.withColumn("__r", F.row_number().over(_by(key, order)) - 1).where(F.col("__r") % n == 0).drop("__r")
+
+
+def chronological(rows: DataFrame, value: str, key: str = KEY, order: str = ORDER) -> DataFrame:
+    """(key, in_order): whether the value never falls."""
+    ok = rows.withColumn("__ok", F.coalesce(F.col(value) >= F.lag(value).over(_by(key, order)), F.lit(True)))
+    return ok.groupBy(key).agg(F.bool_and("__ok").alias("in_order"))
+
+
+def gps_summary(track: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
+    """(key, tagged_frames, track_length_m, median_spacing_m, low_m, high_m) of fixes (e, n, u); heights from the first fix."""
+    w = _by(key, order)
+    way = F.sqrt(sum((F.pow(F.col(c) - F.lag(c).over(w), F.lit(2)) for c in "nu"), F.pow(F.col("e") - F.lag("e").over(w), F.lit(2))))
+    p = track.withColumns({"way": way, "h": F.col("u") - F.first("u").over(w)})
+    return p.groupBy(key).agg(F.count("*").alias("tagged_frames"), F.coalesce(F.sum("way"), F.lit(0.0)).alias("track_length_m"), F.coalesce(F.median("way"), F.lit(0.0)).alias("median_spacing_m"), F.min("h").alias("low_m"), F.max("h").alias("high_m"))
+
+
+def strip_counts(strips_: DataFrame, key: str = KEY) -> DataFrame:
+    """(key, strip, photos, most): photos of each strip; most marks the fullest one, the first on ties."""
+    n = strips_.groupBy(key, "strip").agg(F.count("*").alias("photos"))
+    best = F.max_by("strip", F.struct("photos", -F.col("strip"))).over(Window.partitionBy(key))
+    return n.withColumn("most", F.col("strip") == best)
+
+
+def coverage(times: DataFrame, fixes: DataFrame, margin: float = 0.5, key: str = KEY) -> DataFrame:
+    """(key, keyframes, outside, covered): how many times t lie within the telemetry, give or take the margin; null without telemetry."""
+    span = fixes.groupBy(key).agg(F.min("t").alias("__a"), F.max("t").alias("__b"))
+    inside = F.col("t").between(F.col("__a") - margin, F.col("__b") + margin).cast("long")
+    g = times.join(span, key, "left").groupBy(key).agg(F.count("*").alias("keyframes"), F.sum(1 - inside).alias("outside"), F.avg(inside).alias("covered"))
+    return g
 
 
 def logical_flights(spans: DataFrame, gap_s: float = 30.0, key: str = KEY) -> DataFrame:
@@ -149,10 +218,17 @@ def logical_flights(spans: DataFrame, gap_s: float = 30.0, key: str = KEY) -> Da
     w = _by(key, "shot")
     pause = F.col("start_s") - F.lag("end_s").over(w)
     jump = F.hypot(F.col("start_e") - F.lag("end_e").over(w), F.col("start_n") - F.lag("end_n").over(w))
-    apart = F.when(F.lag("shot").over(w).isNull(), 0).otherwise(((pause > gap_s) | F.coalesce(jump > 25.0 + 30.0 * pause, F.lit(False))).cast("int"))
+    apart = F.when(F.lag("shot").over(w).isNull(), 0).otherwise(((pause > gap_s) | F.coalesce(jump > 25.0 + 30.0 * F.greatest(pause, F.lit(0.0)), F.lit(False))).cast("int"))
     return spans.withColumn("__a", apart).withColumn("flight", F.sum("__a").over(w).cast("long")).drop("__a")
 
 
+def flight_summaries(spans: DataFrame, key: str = KEY) -> DataFrame:
+    """(key, flight, shots, frames, start_s, end_s, duration_s, distance_m, largest) of shots with their flight; the first of the largest on ties."""
+    g = spans.groupBy(key, "flight").agg(F.count("*").alias("shots"), F.sum("frames").alias("frames"), F.min("start_s").alias("start_s"), F.max_by("end_s", "shot").alias("end_s"), F.sum("distance_m").alias("distance_m"))
+    best = F.max_by("flight", F.struct("frames", -F.col("flight"))).over(Window.partitionBy(key))
+    return g.withColumn("duration_s", F.col("end_s") - F.col("start_s")).withColumn("largest", F.col("flight") == best)
+
+
 def count_reversals(values: Column, limit: Column) -> Column:
     """Turns of at least limit in an array of positions, by a fold with hysteresis."""
     start = F.struct(F.lit(0).alias("dir"), F.element_at(values, 1).alias("ext"), F.lit(0).alias("n"))

@@ -135,33 +135,20 @@ def window_speeds(s, d):
     return T.window_speeds(plane(s, d)).select("flight_id", "steps_judged", r6("max_speed"), r6("discontinuous"))
 
 
-_Q = f"select flight_id, cast(seq as double) * 1.7e0 - 3.0e0 as q from ({FIXES}) x where seq % 3 = 0"
+_Q = f"select flight_id, cast(seq as double) * 1.7e0 - 3.0e0 as q from ({FIXES}) x"
 
 
 @query(f"""with f as ({FIXES}), q as (select flight_id, cast(q as double) as q from ({_Q}) y), b as (select q.flight_id, q.q, max_by(f.t, f.t) filter (f.t <= q.q) as bt, max_by(f.alt, f.t) filter (f.t <= q.q) as bv, min_by(f.t, f.t) filter (f.t >= q.q) as ft, min_by(f.alt, f.t) filter (f.t >= q.q) as fv
 from q join f on q.flight_id = f.flight_id group by q.flight_id, q.q)
 select flight_id, round(q, 6) as q, round(case when bt is null then fv when ft is null then bv when ft = bt then bv else bv + (fv - bv) * (q - bt) / (ft - bt) end, 6) as alt from b""")
 def interpolation_join(s, d):
-    q = fixes(s, d).where("seq % 3 = 0").select("flight_id", (F.col("seq") * 1.7 - 3.0).cast("double").alias("q"))
+    q = fixes(s, d).select("flight_id", (F.col("seq") * 1.7 - 3.0).cast("double").alias("q"))
     return T.interpolated(q, fixes(s, d), "alt").select("flight_id", r6("q"), r6("alt"))
 
 
 @query(f"""with f as ({FIXES}), q as (select flight_id, cast(q as double) as q from ({_Q}) y)
 select flight_id, round(q, 6) as q, alt from (select q.flight_id, q.q, f.alt, row_number() over (partition by q.flight_id, q.q order by abs(f.t - q.q), f.t) as rn from q join f on q.flight_id = f.flight_id) z where rn = 1""")
 def nearest_fix_join(s, d):
-    q = fixes(s, d).where("seq % 3 = 0").select("flight_id", (F.col("seq") * 1.7 - 3.0).cast("double").alias("q"))
-    return T.nearest_fix(q, fixes(s, d), "alt").select("flight_id", r6("q"), "alt")
-
-
-# The two above are what their SQL describes, a third of the query times; these take the times of all fixes.
-@query()
-def interpolation_join_all(s, d):
-    q = fixes(s, d).select("flight_id", (F.col("seq") * 1.7 - 3.0).cast("double").alias("q"))
-    return T.interpolated(q, fixes(s, d), "alt").select("flight_id", r6("q"), r6("alt"))
-
-
-@query()
-def nearest_fix_join_all(s, d):
     q = fixes(s, d).select("flight_id", (F.col("seq") * 1.7 - 3.0).cast("double").alias("q"))
     return T.nearest_fix(q, fixes(s, d), "alt").select("flight_id", r6("q"), "alt")
 
@@ -171,12 +158,19 @@ def rolling_median(s, d):
     return T.rolling_median(fixes(s, d), "alt").select("flight_id", "seq", "rolling")
 
 
-@query(f"""with c as ({CANDS}), k as (select *, sum(case when frame = 0 then 0 when is_cut then 1 else 0 end) over (partition by shot_key order by frame) as shot from c),
-st as (select *, case when lag(frame) over w is null then 0.0 when shift is null then 1.0 else greatest(shift / 0.1, (t - lag(t) over w) / 2.0) end as step from k window w as (partition by shot_key, shot order by frame)),
+_SHOTS = f"select *, sum(case when frame = 0 then 0 when is_cut then 1 else 0 end) over (partition by shot_key order by frame) as shot from ({CANDS}) c"
+
+
+def _kept(source: str, move: str) -> str:
+    return f"""with k as ({source}), st as (select *, case when lag(frame) over w is null then 0.0 else greatest({move}, (t - lag(t) over w) / 2.0) end as step from k window w as (partition by shot_key, shot order by frame)),
 b as (select *, floor(sum(step) over (partition by shot_key, shot order by frame) + 1e-9) as bin from st),
 m as (select shot_key, shot, quantile_cont(sharpness, 0.5) as med from b group by shot_key, shot),
-r as (select b.*, med, row_number() over (partition by b.shot_key, b.shot, bin order by sharpness desc, frame) as rn from b join m on b.shot_key = m.shot_key and b.shot = m.shot)
-select shot_key, cast(shot as bigint) as shot, cast(bin as bigint) as bin, frame, round(t, 6) as t, sharpness, sharpness < 0.5 * med as blurry, coalesce(bin - lag(bin) over (partition by shot_key, shot order by frame) > 2, false) as gap_before from r where rn = 1""")
+r as (select b.*, sharpness < 0.5 * med as blurry, row_number() over (partition by b.shot_key, b.shot, bin order by sharpness desc, frame) as rn from b join m on b.shot_key = m.shot_key and b.shot = m.shot),
+f as (select *, last_value(case when not blurry then bin end ignore nulls) over (partition by shot_key, shot order by frame rows between unbounded preceding and 1 preceding) as last from r where rn = 1)
+select shot_key, cast(shot as bigint) as shot, cast(bin as bigint) as bin, frame, round(t, 6) as t, sharpness, blurry, not blurry and coalesce(bin - last > 2, false) as gap_before from f"""
+
+
+@query(_kept(_SHOTS, "case when shift is null then 1.0 else shift / 0.1 end"))
 def select_keyframes(s, d):
     return T.keyframes(T.shots(cands(s, d))).withColumn("t", F.round("t", 6))
 
@@ -190,7 +184,7 @@ def split_shots(s, d):
 _SPANS = f"select flight_id, seq // 8 as shot, min(t) as start_s, max(t) as end_s, min_by(e, seq) as start_e, max_by(e, seq) as end_e, min_by(n, seq) as start_n, max_by(n, seq) as end_n from ({ENU}) p group by flight_id, seq // 8"
 
 
-@query(f"""with s as ({_SPANS}), a as (select *, case when lag(shot) over w is null then 0 when start_s - lag(end_s) over w > 1.2 or sqrt(pow(start_e - lag(end_e) over w, 2) + pow(start_n - lag(end_n) over w, 2)) > 25.0 + 30.0 * (start_s - lag(end_s) over w) then 1 else 0 end as apart from s window w as (partition by flight_id order by shot))
+@query(f"""with s as ({_SPANS}), a as (select *, case when lag(shot) over w is null then 0 when start_s - lag(end_s) over w > 1.2 or sqrt(pow(start_e - lag(end_e) over w, 2) + pow(start_n - lag(end_n) over w, 2)) > 25.0 + 30.0 * greatest(start_s - lag(end_s) over w, 0) then 1 else 0 end as apart from s window w as (partition by flight_id order by shot))
 select flight_id, cast(shot as bigint) as shot, cast(sum(apart) over (partition by flight_id order by shot) as bigint) as flight from a""")
 def logical_flights(s, d):
     p = plane(s, d).withColumn("shot", F.expr("seq div 8"))
@@ -251,16 +245,10 @@ def voxel_first(s, d):
     return P.first_of_voxel(cloud(s, d).select("point_id", "x", "y", "z"), 2.0).select("vx", "vy", "vz", "point_id", "n")
 
 
-@query(f"""with p as ({POINTS}), a as (select distinct point_id, x, y, z from p where classification = 6 and shot % 10 = 0), b as (select x, y, z from p where classification = 2 and shot % 10 = 1)
-select a.point_id, a.x, round(a.y, 6) as y, round(a.z, 6) as z, round(min(case when sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) < 1.5 then sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) end), 6) as d from a left join b on abs(a.x - b.x) < 1.5 group by all""")
+@query(f"""with p as ({POINTS}), a as (select distinct point_id, x, y, z from p where classification = 6), b as (select distinct x, y, z from p where classification = 2)
+select a.point_id, a.x, round(a.y, 6) as y, round(a.z, 6) as z, round(min(case when sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) < 1.5 then sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) end), 6) as d
+from (select *, unnest([floor(x / 2) - 1, floor(x / 2), floor(x / 2) + 1]) as gx from a) a left join b on floor(b.x / 2) = gx and abs(a.y - b.y) < 1.5 group by all""")
 def nearest_within(s, d):
-    p = cloud(s, d)
-    return _nearest(p.where("classification = 6 and shot % 10 = 0"), p.where("classification = 2 and shot % 10 = 1"))
-
-
-# The one above is what its SQL describes, a tenth of the points of each side; this one takes all of both classes.
-@query()
-def nearest_within_all(s, d):
     p = cloud(s, d)
     return _nearest(p.where("classification = 6"), p.where("classification = 2"))
 
@@ -281,34 +269,22 @@ def surface_model(s, d):
     return P.surface(cloud(s, d), 1.0).select("ix", "iy", r6("top"), "n")
 
 
-_CELLS = f"select distinct cast(floor(x / 1.0) as bigint) as ix, cast(floor(y / 2.0) as bigint) as iy from ({POINTS}) p where shot = 1"
+_CELLS = f"select distinct cast(floor(x / 1.0) as bigint) as ix, cast(floor(y / 2.0) as bigint) as iy from ({POINTS}) p"
 _NEXT = "(select unnest([-1, 0, 1]) as a) g, (select unnest([-1, 0, 1]) as b) h"
 
 
-def _cells(s, d, shot=None):
-    p = cloud(s, d)
-    return (p if shot is None else p.where(F.col("shot") == shot)).select(F.floor("x").alias("ix"), F.floor(F.col("y") / 2.0).alias("iy")).distinct()
+def _cells(s, d):
+    return cloud(s, d).select(F.floor("x").alias("ix"), F.floor(F.col("y") / 2.0).alias("iy")).distinct()
 
 
 @query(f"with c as ({_CELLS}), dil as (select distinct ix + a as ix, iy + b as iy from c, {_NEXT}) select ix + a as ix, iy + b as iy from dil, {_NEXT} group by 1, 2 having count(*) = 9")
 def raster_close(s, d):
-    return P.closed(_cells(s, d, 1))
-
-
-# The raster of raster_close and raster_open is what their SQL describes, one shot's; these take the points of all shots.
-@query()
-def raster_close_all(s, d):
     return P.closed(_cells(s, d))
 
 
-@query()
-def raster_open_all(s, d):
-    return P.opened(_cells(s, d))
-
-
 @query(f"with c as ({_CELLS}), er as (select ix + a as ix, iy + b as iy from c, {_NEXT} group by 1, 2 having count(*) = 9) select distinct ix + a as ix, iy + b as iy from er, {_NEXT}")
 def raster_open(s, d):
-    return P.opened(_cells(s, d, 1))
+    return P.opened(_cells(s, d))
 
 
 @query(f"""with p as ({ENU}), x as (select flight_id, e - round(e) as de, n - round(n) as dn, u - round(u / 2) * 2 as du from p), y as (select *, avg(de) over (partition by flight_id) as me, avg(dn) over (partition by flight_id) as mn from x)

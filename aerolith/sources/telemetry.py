@@ -34,7 +34,7 @@ def subtitle_rows(blocks: DataFrame) -> DataFrame:
 
 
 # fixed values: accepted header names, first match wins
-COLUMNS = {"t": ("time", "timestamp", "t", "seconds", "ms", "milliseconds"), "lat": ("lat", "latitude"), "lon": ("lon", "lng", "longitude"), "alt": ("alt", "altitude", "height", "elevation")}
+COLUMNS = {"t": ("time", "timestamp", "seconds"), "lat": ("latitude", "lat"), "lon": ("longitude", "lon", "lng"), "alt": ("altitude", "abs_alt", "alt", "height")}
 
 
 def pick_column(names: list[str], wanted: tuple[str, ...]) -> str | None:

@@ -1,4 +1,4 @@
-"""Queries without SQL over all rows of the smallest tables, against plain versions."""
+"""Queries over all rows of the smallest tables, against plain versions."""
 
 import math
 
@@ -20,9 +20,9 @@ def test_queries_at_all_fixes(spark):
             q = seq * 1.7 - 3.0
             between[f, round(q, 6)] = float(np.interp(q, t, alt))
             nearest[f, round(q, 6)] = min(zip(t, alt), key=lambda x: (abs(x[0] - q), x[0]))[1]
-    got = {(r.flight_id, r.q): r.alt for r in catalog.QUERIES["interpolation_join_all"](spark, DATA).collect()}
+    got = {(r.flight_id, r.q): r.alt for r in catalog.QUERIES["interpolation_join"](spark, DATA).collect()}
     assert got.keys() == between.keys() and all(math.isclose(got[k], between[k], abs_tol=2e-6) for k in got)
-    assert {(r.flight_id, r.q): r.alt for r in catalog.QUERIES["nearest_fix_join_all"](spark, DATA).collect()} == nearest
+    assert {(r.flight_id, r.q): r.alt for r in catalog.QUERIES["nearest_fix_join"](spark, DATA).collect()} == nearest
     assert catalog.QUERIES["gps_fusion"](spark, DATA).count() == sum(map(len, tracks.values()))
 
 
@@ -34,7 +34,7 @@ def test_nearest_of_all_points(spark):
     for i, *at in left:
         d = float(np.sqrt(((right - at) ** 2).sum(1)).min())
         want.append((i, at[0], round(at[1], 6), round(at[2], 6), d if d < 1.5 else None))
-    got = [tuple(r) for r in catalog.QUERIES["nearest_within_all"](spark, DATA).collect()]
+    got = [tuple(r) for r in catalog.QUERIES["nearest_within"](spark, DATA).collect()]
     key = lambda r: r[:4]
     got, want = sorted(got, key=key), sorted(want, key=key)
     assert [key(r) for r in got] == [key(r) for r in want] and any(r[4] is None for r in want)
@@ -48,8 +48,8 @@ def test_rasters_of_all_points(spark):
     grow = lambda s: {(x + a, y + b) for x, y in s for a, b in near}
     shrink = lambda s: {c for c in grow(s) if all((c[0] + a, c[1] + b) in s for a, b in near)}
     rows = lambda name, *c: sorted(tuple(r[k] for k in c) for r in catalog.QUERIES[name](spark, DATA).collect())
-    assert rows("raster_close_all", "ix", "iy") == sorted(shrink(grow(cells)))
-    assert rows("raster_open_all", "ix", "iy") == sorted(grow(shrink(cells))) != []
+    assert rows("raster_close", "ix", "iy") == sorted(shrink(grow(cells)))
+    assert rows("raster_open", "ix", "iy") == sorted(grow(shrink(cells))) != []
     want, left = [], set(cells)
     while left:
         todo, part = [left.pop()], []
