@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import stored
+from ..sources.scratch import grouped, stored
 from .fits import similarity_fit
 
 
@@ -50,26 +51,91 @@ def icp(cloud: DataFrame, ref: DataFrame, *, levels: tuple[float, ...] = (8.0, 4
     return scale, rot, shift
 
 
-def neighbours(points: DataFrame, k: int, radius: float, rounds: int = 16) -> DataFrame:
+def _blocks(points: DataFrame, reach: float, most: int = 4000) -> DataFrame:
+    """(level, bx, by, bz, inner, point columns): points in cubes of a side of reach times a power of two, with all that lie within reach of a cube.
+
+    A cube is halved while it holds more than `most` points and is larger than the reach, so dense places are dealt to many tasks.
+    """
+    top = 4
+    at = lambda c, level: F.floor(F.col(c) / (reach * 2.0**level)).cast("long")
+    level, left = None, points
+    for k in range(top, 0, -1):
+        full = points.groupBy(*(at(c, k).alias(f"b{c}") for c in "xyz")).agg(F.count("*").alias("__n")).where(F.col("__n") > most).drop("__n")
+        flag = left.withColumns({f"b{c}": at(c, k) for c in "xyz"})
+        left = flag.join(full, ["bx", "by", "bz"], "left_semi").drop("bx", "by", "bz")
+        calm = flag.join(full, ["bx", "by", "bz"], "left_anti").select(F.lit(k).alias("level"), "bx", "by", "bz").distinct()
+        level = calm if level is None else level.unionByName(calm)
+    level = stored(level.unionByName(left.select(F.lit(0).alias("level"), *(at(c, 0).alias(f"b{c}") for c in "xyz")).distinct()), "cubes")
+    levels = [r.level for r in level.select("level").distinct().collect()]
+    out = None
+    for k in levels:
+        side = reach * 2.0**k
+        near = points
+        for c in "xyz":
+            near = near.withColumn(f"b{c}", F.explode(F.sequence(F.floor((F.col(c) - reach) / side).cast("long"), F.floor((F.col(c) + reach) / side).cast("long"))))
+        near = near.join(level.where(F.col("level") == k), ["bx", "by", "bz"])
+        inner = (F.col("bx") == at("x", k)) & (F.col("by") == at("y", k)) & (F.col("bz") == at("z", k))
+        near = near.select("level", "bx", "by", "bz", inner.alias("inner"), *points.columns)
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
+def _nearest_of_block(x: np.ndarray, inner: np.ndarray, k: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the k nearest of each inner point, by distance then place; whether all of them lie within reach)."""
+    own, found, sure = x[inner], [], []
+    for a in range(0, len(own), max(1, 4_000_000 // max(1, len(x)))):
+        part = own[a : a + max(1, 4_000_000 // max(1, len(x)))]
+        d = np.zeros((len(part), len(x)))
+        for j in range(3):
+            d += (part[:, j, None] - x[None, :, j]) ** 2
+        m = min(k, len(x))
+        low = np.partition(d, m - 1, axis=1)[:, m - 1]
+        row, col = np.nonzero(d <= low[:, None])
+        order = np.lexsort((col, d[row, col], row))
+        row, col = row[order], col[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        found.append(col[rank < m].reshape(len(part), m))
+        sure.append((low <= reach * reach) if m == k else np.zeros(len(part), bool))
+    return np.concatenate(found), np.concatenate(sure)
+
+
+def neighbours(points: DataFrame, k: int, radius: float) -> DataFrame:
     """(point_id, x, y, z, near): the k nearest points, itself included, ties by id; fewer only where the cloud is smaller.
 
-    Points without k others in reach go to the next round with twice the radius.
+    Cubes with all points around them are searched one by one; a point whose k nearest don't all lie within the radius
+    goes to the next round, with twice the radius.
     """
-    todo, done = stored(points.select("point_id", *"xyz"), "points"), None
-    k = min(k, todo.count())
-    pick = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("d", "r_point_id", "rx", "ry", "rz"))), 1, k), lambda p: F.struct(p["rx"].alias("x"), p["ry"].alias("y"), p["rz"].alias("z")))
-    everything = todo
-    for _ in range(rounds):
-        near = _met(todo, everything, radius, "point_id").where(F.col("d") <= radius)
-        rank = F.row_number().over(Window.partitionBy("point_id", *"xyz").orderBy("d", "r_point_id"))  # cuts groups to k before they are gathered
-        near = stored(near.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("point_id", *"xyz").agg(pick.alias("near")), "near")
-        full = near.where(F.size("near") >= k)
+    everything = stored(points.select("point_id", *"xyz"), "points")
+    todo, done, k = everything.withColumn("ask", F.lit(True)), None, min(k, everything.count())
+    if not k:
+        return everything.withColumn("near", F.array().cast("array<struct<x:double,y:double,z:double>>"))
+    kind = points.schema["point_id"].dataType.simpleString()
+    while True:
+        reach = radius
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in grouped(batches, ["level", "bx", "by", "bz"]):
+                t = t.sort_by("point_id")
+                x = np.stack([t.column(c).to_numpy() for c in "xyz"], 1)
+                ask = t.column("inner").to_numpy(zero_copy_only=False) & t.column("ask").to_numpy(zero_copy_only=False)
+                if not ask.any():
+                    continue
+                near, sure = _nearest_of_block(x, ask, k, reach)
+                own = t.filter(pa.array(ask)).select(["point_id", *"xyz"]).combine_chunks().to_batches()[0]
+                flat = pa.StructArray.from_arrays([pa.array(x[near.ravel(), j]) for j in range(3)], list("xyz"))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), flat)
+                yield pa.RecordBatch.from_arrays([*own.columns, lists, pa.array(sure)], names=["point_id", *"xyz", "near", "sure"])
+
+        asked = everything.join(todo.select("point_id", *"xyz", "ask").distinct(), ["point_id", *"xyz"], "left").withColumn("ask", F.coalesce("ask", F.lit(False))) if done is not None else todo
+        keys = ["level", "bx", "by", "bz"]
+        dealt = _blocks(asked, reach).repartition(*keys).sortWithinPartitions(*keys)
+        found = stored(dealt.mapInArrow(search, f"point_id {kind}, x double, y double, z double, near array<struct<x:double,y:double,z:double>>, sure boolean"), "near")
+        full = found.where("sure").drop("sure")
         done = full if done is None else done.unionByName(full)
-        todo = stored(near.where(F.size("near") < k).select("point_id", *"xyz"), "points")
+        todo = found.where("not sure").select("point_id", *"xyz").withColumn("ask", F.lit(True))
         if todo.isEmpty():
             return done
         radius *= 2
-    raise RuntimeError("the radius is too small for this cloud")
 
 
 def normals(points: DataFrame, k: int = 16, radius: float = 1.0) -> DataFrame:
@@ -147,22 +213,21 @@ def filled_polygons(polygons: DataFrame, size: float) -> DataFrame:
     return cells.where(inside).groupBy("ix", "iy").agg(F.max("z").alias("top"))
 
 
-def greedy_matches(pairs: DataFrame, rounds: int = 64) -> DataFrame:
+def greedy_matches(pairs: DataFrame) -> DataFrame:
     """(a, b, score): one-to-one pairs, best score first, ties to larger a, then larger b.
 
     A pair that is the best of both its sides is one that the greedy order takes; each round takes all such pairs
-    and drops what touches them, so no task holds all pairs.
+    and drops what touches them, so no task holds all pairs. The best of all pairs is always taken, so the rounds end.
     """
     left, out = stored(pairs.where("score is not null").select("a", "b", "score").distinct(), "pairs"), None
     rank = F.struct("score", "a", "b")
-    for _ in range(rounds):
+    while True:
         best = left.groupBy("a").agg(F.max(rank).alias("m")).select("m.*").intersect(left.groupBy("b").agg(F.max(rank).alias("m")).select("m.*"))
         best = stored(best, "matches").select("a", "b", "score")
         out = best if out is None else out.unionByName(best)
         left = stored(left.join(best.select("a"), "a", "left_anti").join(best.select("b"), "b", "left_anti").select("a", "b", "score"), "pairs")
         if left.isEmpty():
             return out
-    raise RuntimeError("pairs did not settle")
 
 
 def spaced_photos(photos: DataFrame, min_move: float, blur: float = 0.5, key: str = "flight_id", order: str = "seq") -> DataFrame:

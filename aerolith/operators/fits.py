@@ -12,19 +12,23 @@ from ..sources.scratch import stored
 
 
 def robust_line(rows: DataFrame, x: str, y: str, *keys: str, rounds: int = 5, keep: float = 0.8) -> DataFrame:
-    """(keys, slope, intercept): least squares over and over on the rows whose residual is within the keep quantile of all."""
-    data = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).alias("x"), F.col(y).alias("y"), F.lit(True).alias("inside"))
+    """(keys, slope, intercept): least squares over and over on the rows whose residual is within the keep quantile of all.
+
+    Rows are stored once; between rounds only a line and a limit for each key are kept.
+    """
     on = list(keys)
+    data = stored(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*on, F.col(x).alias("x"), F.col(y).alias("y")), "points")
+    met = lambda state: data.join(state, on) if on else data.crossJoin(F.broadcast(state))  # noqa: E731  one row without keys
+    off = F.abs(F.col("slope") * F.col("x") + F.col("intercept") - F.col("y"))
+    inside = data
     for i in range(rounds):
-        inner = lambda c: F.when(F.col("inside"), F.col(c))
-        line = data.groupBy(*on).agg(F.regr_slope(inner("y"), inner("x")).alias("slope"), F.regr_intercept(inner("y"), inner("x")).alias("intercept"))
+        line = inside.groupBy(*on).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"))
         if i == rounds - 1:
-            return line
+            break
         line = stored(line, "line")
-        left = data.select(*on, "x", "y").join(line, on).withColumn("r", F.abs(F.col("slope") * F.col("x") + F.col("intercept") - F.col("y")))
-        limit = left.groupBy(*on).agg(F.percentile("r", F.lit(keep)).alias("limit"))
-        data = left.join(limit, on).select(*on, "x", "y", (F.col("r") <= F.col("limit")).alias("inside"))
-    return data
+        limit = met(line).groupBy(*on, "slope", "intercept").agg(F.percentile(off, F.lit(keep)).alias("limit"))
+        inside = met(stored(limit, "limit")).where(off <= F.col("limit"))
+    return line
 
 
 def similarity_fit(pairs: DataFrame, scaled: bool = False) -> tuple[float, np.ndarray, np.ndarray]:
@@ -47,14 +51,15 @@ def roll_votes(normals: DataFrame, axis: tuple[float, float], degrees: list[floa
     return packed.select(F.inline("all"))
 
 
-def raster_components(cells: DataFrame, rounds: int = 64) -> DataFrame:
+def raster_components(cells: DataFrame) -> DataFrame:
     """(ix, iy, component) over eight neighbours; a component is named by its smallest cell (x, then y).
 
-    Each round takes the least label around a cell and then that label's own label; each is a table in the shared folder.
+    Each round takes the least label around a cell and then that label's own label; each is a table in the shared folder. Labels only become
+    smaller, so the rounds end.
     """
     key, span = F.struct("ix", "iy"), F.sequence(F.lit(-1), F.lit(1))
     now = stored(cells.select("ix", "iy").distinct().withColumn("component", key), "cells")
-    for _ in range(rounds):
+    while True:
         sent = now.withColumn("a", F.explode(span)).withColumn("b", F.explode(span)).select((F.col("ix") + F.col("a")).alias("ix"), (F.col("iy") + F.col("b")).alias("iy"), "component")
         low = now.select("ix", "iy", F.col("component").alias("old")).join(sent.groupBy("ix", "iy").agg(F.min("component").alias("component")), ["ix", "iy"])
         roots = now.select(F.struct("ix", "iy").alias("c"), F.col("component").alias("up"))
@@ -62,4 +67,3 @@ def raster_components(cells: DataFrame, rounds: int = 64) -> DataFrame:
         now = new.select("ix", "iy", "component")
         if new.where("old <> component").isEmpty():
             return now
-    raise RuntimeError("components did not settle")

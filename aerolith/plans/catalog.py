@@ -199,7 +199,11 @@ def photo_strips(s, d):
     return T.strips(plane(s, d)).select("flight_id", "seq", "strip")
 
 
-@query()
+@query(f"""with recursive p as ({ENU}), f as (select flight_id, seq, e as ext, 0 as dir, 0 as turns from p where seq = 0
+union all select p.flight_id, p.seq, case when dir = 0 and abs(e - ext) >= 5.0 then e when dir = 0 then ext when (e - ext) * dir > 0 then e when -(e - ext) * dir >= 5.0 then e else ext end,
+case when dir = 0 and abs(e - ext) >= 5.0 then case when e > ext then 1 else -1 end when dir = 0 then 0 when (e - ext) * dir > 0 then dir when -(e - ext) * dir >= 5.0 then -dir else dir end,
+case when dir <> 0 and (e - ext) * dir <= 0 and -(e - ext) * dir >= 5.0 then turns + 1 else turns end from f join p on p.flight_id = f.flight_id and p.seq = f.seq + 1)
+select flight_id, cast(max_by(turns, seq) as bigint) as reversals from f group by flight_id""")
 def direction_reversals(s, d):
     g = plane(s, d).groupBy("flight_id").agg(F.array_sort(F.collect_list(F.struct("seq", "e"))).alias("p"))
     return g.select("flight_id", T.count_reversals(F.transform("p", lambda x: x["e"]), F.lit(5.0)).cast("long").alias("reversals"))
@@ -317,12 +321,25 @@ def roll_votes(s, d):
     return fits.roll_votes(n, (0.6, 0.8), [float(a) for a in range(-60, 61, 2)], 3.0)
 
 
-@query()
+@query(f"""with recursive c as ({_CELLS}), g(ix, iy, l) using key (ix, iy) as (select ix, iy, ix * 1000000 + iy as l from c
+union select a.ix, a.iy, min(b.l) from recurring.g a join recurring.g b on abs(a.ix - b.ix) <= 1 and abs(a.iy - b.iy) <= 1 group by a.ix, a.iy, a.l having min(b.l) < a.l)
+select ix, iy, cast(floor(l / 1000000) as bigint) as cx, cast(l % 1000000 as bigint) as cy from g""")
 def raster_components(s, d):
     return fits.raster_components(_cells(s, d)).select("ix", "iy", F.col("component.ix").alias("cx"), F.col("component.iy").alias("cy"))
 
 
-@query()
+_RESIDUE = "abs(slope * x + intercept - y)"
+
+
+def _line_rounds(rounds: int = 5) -> str:
+    out = [f"with d as (select cls, x, y from ({POINTS}) p)", "l1 as (select cls, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d group by cls)"]
+    for i in range(1, rounds):
+        out.append(f"q{i} as (select d.cls, slope, intercept, quantile_cont({_RESIDUE}, 0.8) as lim from d join l{i} on d.cls = l{i}.cls group by all)")
+        out.append(f"l{i + 1} as (select d.cls, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d join q{i} on d.cls = q{i}.cls where {_RESIDUE} <= lim group by d.cls)")
+    return ", ".join(out) + f" select cls, round(slope, 6) as slope, round(intercept, 6) as intercept from l{rounds}"
+
+
+@query(_line_rounds())
 def robust_lines(s, d):
     return fits.robust_line(cloud(s, d), "x", "y", "cls").select("cls", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 

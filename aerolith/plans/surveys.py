@@ -45,7 +45,7 @@ def confidence_colours(s, d):
     return c.select("point_id", r6("c.r", "r"), r6("c.g", "g"), F.col("c.b").alias("b"))
 
 
-_SQUARES = f"select point_id, floor(x) + 0.25e0 as x0, floor(y / 4) * 4 + 0.5e0 as y0, z + 1.5e0 as w, z from ({POINTS}) p where classification = 6"
+_SQUARES = f"select point_id, floor(x) + 0.25e0 as x0, floor(y / 4) * 4 + 0.5e0 as y0, z + 1.5e0 as w, z from ({POINTS}) p"
 
 
 @query(f"""with q as ({_SQUARES}), c as (select *, unnest(range(cast(floor(x0) as bigint), cast(floor(x0 + w) as bigint) + 1)) as ix from q), b as (select *, unnest(range(cast(floor(y0) as bigint), cast(floor(y0 + w) as bigint) + 1)) as iy from c)
@@ -54,12 +54,12 @@ def filled_polygons(s, d):
     x, y, w = F.floor("x") + 0.25, F.floor(F.col("y") / 4) * 4 + 0.5, F.col("z") + 1.5
     corner = lambda a, b: F.struct((x + a * w).alias("x"), (y + b * w).alias("y"))
     ring = F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1))
-    return clouds.filled_polygons(cloud(s, d).where("classification = 6").select(ring.alias("ring"), "z"), 1.0)
+    return clouds.filled_polygons(cloud(s, d).select(ring.alias("ring"), "z"), 1.0)
 
 
 @query()
 def surface_normals(s, d):
-    return clouds.normals(cloud(s, d).where("classification = 6"), 8, 1.0).select("point_id", F.round("flatness", 6).alias("flatness"))
+    return clouds.normals(cloud(s, d), 8, 1.0).select("point_id", F.round("flatness", 6).alias("flatness"))
 
 
 @query()
@@ -70,7 +70,9 @@ def footprint_matches(s, d):
     return clouds.greedy_matches(sides.select("a", "b", (F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).alias("score")))
 
 
-@query()
+@query(f"""with p as ({POINTS}), m as (select x, y, z from p where classification = 6), o as (select min_by(point_id, point_id) as point_id, min_by(x, point_id) as x, min_by(y, point_id) as y, min_by(z, point_id) as z from p where classification = 2 group by floor(x / 0.15), floor(y / 0.15), floor(z / 0.15)),
+n as (select o.point_id, min(sqrt(pow(o.x - m.x, 2) + pow(o.y - m.y, 2) + pow(o.z - m.z, 2))) as d from (select *, unnest([floor(x / 2) - 1, floor(x / 2), floor(x / 2) + 1]) as gx from o) o join (select distinct * from m) m on floor(m.x / 2) = gx and abs(o.y - m.y) < 1.5 group by o.point_id, o.x, o.y, o.z)
+select point_id, round(d, 6) as d from n where d < 1.5 and d > 0.15 order by n.d, point_id limit (select cast(floor(0.15e0 * count(*)) as bigint) from m)""")
 def gap_fill(s, d):
     c = cloud(s, d)
     return clouds.gap_filled(c.where("classification = 6"), c.where("classification = 2")).select("point_id", r6("d"))
