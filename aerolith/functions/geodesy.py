@@ -83,3 +83,81 @@ def horizontal_accuracy(h: Column) -> Column:
 
 def vertical_accuracy(v: Column, h: Column) -> Column:
     return F.greatest(F.lit(0.03), F.least(F.lit(75.0), F.coalesce(F.nanvl(v, F.lit(None)), 1.5 * horizontal_accuracy(h))))
+
+
+def _series() -> tuple[float, list[float], list[float], list[float]]:
+    """(radius of the rectifying sphere, and Krüger's series forward, back, and for latitudes) to the third order of the third flattening."""
+    n = FLATTENING / (2 - FLATTENING)
+    radius = A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    forward = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    back = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+    latitude = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    return radius, forward, back, latitude
+
+
+# fixed values: scale on the central meridian, false easting, false northing of the southern half
+UTM_SCALE, UTM_EAST, UTM_SOUTH = 0.9996, 500000.0, 10000000.0
+
+
+def utm_zone(lon: Column) -> Column:
+    return (F.pmod(F.floor((lon + 180) / 6), F.lit(60)) + 1).cast("int")
+
+
+def utm(lat: Column, lon: Column, zone: Column, south: Column) -> tuple[Column, Column]:
+    """Easting and northing in a zone; within a millimetre up to some 3,000 km from its meridian."""
+    radius, forward, _, _ = _series()
+    n = FLATTENING / (2 - FLATTENING)
+    k = 2 * n**0.5 / (1 + n)
+    s = F.sin(F.radians(lat))
+    t = F.sinh(F.atanh(s) - k * F.atanh(k * s))
+    d = F.radians(lon - (zone * 6 - 183))
+    xi, eta = F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
+    east = eta + sum((a * F.cos(2 * (j + 1) * xi) * F.sinh(2 * (j + 1) * eta) for j, a in enumerate(forward)), F.lit(0.0))
+    north = xi + sum((a * F.sin(2 * (j + 1) * xi) * F.cosh(2 * (j + 1) * eta) for j, a in enumerate(forward)), F.lit(0.0))
+    return UTM_EAST + UTM_SCALE * radius * east, F.when(south, UTM_SOUTH).otherwise(0.0) + UTM_SCALE * radius * north
+
+
+def from_utm(east: Column, north: Column, zone: Column, south: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of a place in a zone."""
+    radius, _, back, latitude = _series()
+    xi = (north - F.when(south, UTM_SOUTH).otherwise(0.0)) / (UTM_SCALE * radius)
+    eta = (east - UTM_EAST) / (UTM_SCALE * radius)
+    a = xi - sum((b * F.sin(2 * (j + 1) * xi) * F.cosh(2 * (j + 1) * eta) for j, b in enumerate(back)), F.lit(0.0))
+    e = eta - sum((b * F.cos(2 * (j + 1) * xi) * F.sinh(2 * (j + 1) * eta) for j, b in enumerate(back)), F.lit(0.0))
+    chi = F.asin(F.sin(a) / F.cosh(e))
+    lat = chi + sum((d * F.sin(2 * (j + 1) * chi) for j, d in enumerate(latitude)), F.lit(0.0))
+    return F.degrees(lat), F.degrees(F.atan2(F.sinh(e), F.cos(a))) + zone * 6 - 183
+
+
+def from_swiss(east: Column, north: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of Swiss LV95 coordinates, by the national survey's published approximation (within some 0.1 seconds of arc)."""
+    y, x = (east - 2600000.0) / 1e6, (north - 1200000.0) / 1e6
+    lon = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y * y * y
+    lat = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x * x * x
+    return lat * 100 / 36, lon * 100 / 36
+
+
+def to_swiss(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """Swiss LV95 coordinates of a place, by the same survey's approximation (within a metre in Switzerland)."""
+    a, b = (lat * 3600 - 169028.66) / 1e4, (lon * 3600 - 26782.5) / 1e4
+    east = 2600072.37 + 211455.93 * b - 10938.51 * b * a - 0.36 * b * a * a - 44.54 * b * b * b
+    north = 1200147.07 + 308807.95 * a + 3745.25 * b * b + 76.63 * a * a - 194.56 * b * b * a + 119.79 * a * a * a
+    return east, north
+
+
+def widened(value: Column) -> Column:
+    """An 8-bit colour as 16 bits."""
+    return (value * 257).cast("int")
+
+
+def narrowed(value: Column) -> Column:
+    """A 16-bit colour as 8 bits."""
+    return F.shiftright(value.cast("int"), 8)
+
+
+def dms(value: Column) -> Column:
+    """Whole degrees, whole minutes, and seconds to four decimals of an angle without its sign."""
+    v = F.abs(value)
+    d = F.floor(v)
+    m = F.floor((v - d) * 60)
+    return F.struct(d.cast("int").alias("degrees"), m.cast("int").alias("minutes"), F.round((v - d - m / 60) * 3600, 4).alias("seconds"))

@@ -43,6 +43,7 @@ ENU = f"""select flight_id, seq, t, (lon + 81.0) * 84015.0 as e, (lat - 41.0) *
 
 def _bound(spark: SparkSession, sf_dir: str, sql: str, tables: tuple[str, ...]) -> DataFrame:
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    sql = sql.replace("{", "{{").replace("}", "}}")
     for t in tables:
         sql = sql.replace(f"from {t}", f"from {{{t}}}")
     return spark.sql(sql, **frames)

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geodesy import utm_epsg
+
 POINT_SCHEMA = "file string, point_id long, x double, y double, z double, red int, green int, blue int, classification short"
 
 
@@ -68,3 +70,47 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
                     yield pd.DataFrame({"file": name, "point_id": np.arange(first, first + len(p)), **{c: xyz[:, i] for i, c in enumerate("xyz")}, **{c: rgb[:, i].astype("i4") for i, c in enumerate(("red", "green", "blue"))}, "classification": p["cls"].astype("i2")})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, POINT_SCHEMA)
+
+
+_CAMERA = ["kind", "width", "height", "focal", "focal_x", "focal_y", "c_x", "c_y", "k1", "k2", "k3", "p1", "p2"]
+
+
+def read_reconstruction(spark: SparkSession, path: str) -> DataFrame:
+    """(shot, camera, rx, ry, rz, tx, ty, tz, kind, width, ... p2) of the first model of a reconstruction file."""
+    camera = "struct<projection_type:string,width:int,height:int,focal:double,focal_x:double,focal_y:double,c_x:double,c_y:double,k1:double,k2:double,k3:double,p1:double,p2:double>"
+    kind = f"array<struct<cameras:map<string,{camera}>,shots:map<string,struct<rotation:array<double>,translation:array<double>,camera:string>>>>"
+    model = spark.read.text(path, wholetext=True).select(F.from_json("value", kind)[0].alias("m"))
+    shots = model.select("m.cameras", F.explode("m.shots").alias("shot", "s"))
+    c = F.col("cameras")[F.col("s.camera")]
+    return shots.select("shot", F.col("s.camera").alias("camera"), *(F.col("s.rotation")[i].alias(f"r{a}") for i, a in enumerate("xyz")), *(F.col("s.translation")[i].alias(f"t{a}") for i, a in enumerate("xyz")), c["projection_type"].alias("kind"), *(c[n].alias(n) for n in _CAMERA[1:]))
+
+
+def read_georeference(spark: SparkSession, path: str) -> DataFrame:
+    """(epsg, east, north): zone and offset from a reconstruction's text of coordinates."""
+    lines = F.split("value", r"\r?\n")
+    part = F.split(F.trim(lines[1]), r"\s+")
+    return spark.read.text(path, wholetext=True).select(utm_epsg(lines[0]).alias("epsg"), part[0].try_cast("double").alias("east"), F.get(part, F.lit(1)).try_cast("double").alias("north"))
+
+
+def cloud_epsg(header: int | None, spark: SparkSession, path: str) -> int:
+    """The header's code, else that of the coordinates beside the cloud; raises without either."""
+    if header:
+        return header
+    found = read_georeference(spark, path).first()
+    if found is None or found.epsg is None:
+        raise ValueError("the cloud's coordinate system is not known")
+    return found.epsg
+
+
+def read_calibration(spark: SparkSession, path: str) -> DataFrame:
+    """(fx, fy, px, py, dist, size_w, size_h) of a calibration in JSON."""
+    c = spark.read.text(path, wholetext=True).select(F.from_json("value", "K array<array<double>>, dist array<double>, size array<int>").alias("c"))
+    k = F.col("c.K")
+    return c.select(k[0][0].alias("fx"), k[1][1].alias("fy"), k[0][2].alias("px"), k[1][2].alias("py"), F.col("c.dist").alias("dist"), F.get("c.size", F.lit(0)).alias("size_w"), F.get("c.size", F.lit(1)).alias("size_h"))
+
+
+def read_way(spark: SparkSession, path: str, way: int) -> DataFrame:
+    """(id, ring of (lat, lon), tags) of an outline in a map service's answer; ways without a geometry are left out."""
+    kind = "elements array<struct<id:long,geometry:array<struct<lat:double,lon:double>>,tags:map<string,string>>>"
+    e = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", kind)["elements"]).alias("e"))
+    return e.where((F.col("e.id") == way) & (F.size("e.geometry") > 0)).select("e.id", F.col("e.geometry").alias("ring"), "e.tags").limit(1)

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from aerolith.plans import catalog, footage, scenes, sites, surveys  # noqa: F401 (add their queries to the catalogue)
+from aerolith.plans import audits, catalog, footage, scenes, sites, surveys  # noqa: F401 (add their queries to the catalogue)
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

@@ -72,7 +72,7 @@ def test_rectangles_and_footprints(spark):
     x, y = np.array([0.0, 6, 6, 0, 3]), np.array([0.0, 0, 2, 2, 1])
     assert np.allclose(B.smallest_rectangle(x * c - y * s, x * s + y * c)[2:], (6, 2))
     assert np.allclose(B.smallest_rectangle(np.array([1.0]), np.array([2.0])), (1, 2, 0, 0))
-    cells = spark.createDataFrame([(i, j, 1) for i in range(8) for j in range(4)] + [(20 + i, i, 2) for i in range(6)], "ix long, iy long, label int")
+    cells = spark.createDataFrame([(i, j, 1) for i in range(8) for j in range(4)] + [(20 + i, 0, 2) for i in range(8)] + [(20, j, 2) for j in range(1, 8)], "ix long, iy long, label int")
     got = {r.label: r for r in B.footprints(cells, 0.5).collect()}
     assert (got[1].area, got[1].length, got[1].width, got[1].fill) == (8.0, 4.0, 2.0, 1.0) and (got[1].centre_x, got[1].mean_y) == (2.0, 1.0) and got[2].fill < 0.5
     best = {r.label: r.best for r in B.nearest_building(B.footprints(cells, 2.0), 45.0, 8.0).collect()}
