@@ -12,26 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import grouped, stored
 from .fits import similarity_fit
-
-
-def _distance() -> Column:
-    dx, dy, dz = (F.col(c) - F.col(f"r{c}") for c in "xyz")
-    return F.sqrt(dx * dx + dy * dy + dz * dz)
-
-
-def _met(left: DataFrame, right: DataFrame, radius: float, *keep: str) -> DataFrame:
-    """Pairs in the same or neighbouring cells of a grid; right comes as rx, ry, rz and the kept columns."""
-    a = left.select("point_id", *"xyz", *(F.floor(F.col(c) / radius).alias(f"c{c}") for c in "xyz"))
-    b = right.select(*(F.col(c).alias(f"r{c}") for c in "xyz"), *(F.col(c).alias(f"r_{c}") for c in keep))
-    for c in "xyz":
-        b = b.withColumn(f"g{c}", F.explode(F.sequence(F.floor(F.col(f"r{c}") / radius) - 1, F.floor(F.col(f"r{c}") / radius) + 1)))
-    return a.join(b, [F.col(f"c{c}") == F.col(f"g{c}") for c in "xyz"]).withColumn("d", _distance())
-
-
-def nearest_points(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
-    """(point_id, x, y, z, rx, ry, rz, d): the nearest right point nearer than the radius; rows without one are left out."""
-    best = F.min(F.struct("d", "rx", "ry", "rz")).alias("b")
-    return _met(left, right, radius).where(F.col("d") < radius).groupBy("point_id", *"xyz").agg(best).select("point_id", *"xyz", "b.rx", "b.ry", "b.rz", "b.d")
+from .points import blocks, nearest_points
 
 
 def icp(cloud: DataFrame, ref: DataFrame, *, levels: tuple[float, ...] = (8.0, 4.0, 2.0, 1.0, 0.5), rounds: int = 8, least: int = 1000, scaled: bool = False) -> tuple[float, np.ndarray, np.ndarray]:
@@ -51,35 +32,6 @@ def icp(cloud: DataFrame, ref: DataFrame, *, levels: tuple[float, ...] = (8.0, 4
     return scale, rot, shift
 
 
-def _blocks(points: DataFrame, reach: float, most: int = 4000) -> DataFrame:
-    """(level, bx, by, bz, inner, point columns): points in cubes of a side of reach times a power of two, with all that lie within reach of a cube.
-
-    A cube is halved while it holds more than `most` points and is larger than the reach, so dense places are dealt to many tasks.
-    """
-    top = 4
-    at = lambda c, level: F.floor(F.col(c) / (reach * 2.0**level)).cast("long")
-    level, left = None, points
-    for k in range(top, 0, -1):
-        full = points.groupBy(*(at(c, k).alias(f"b{c}") for c in "xyz")).agg(F.count("*").alias("__n")).where(F.col("__n") > most).drop("__n")
-        flag = left.withColumns({f"b{c}": at(c, k) for c in "xyz"})
-        left = flag.join(full, ["bx", "by", "bz"], "left_semi").drop("bx", "by", "bz")
-        calm = flag.join(full, ["bx", "by", "bz"], "left_anti").select(F.lit(k).alias("level"), "bx", "by", "bz").distinct()
-        level = calm if level is None else level.unionByName(calm)
-    level = stored(level.unionByName(left.select(F.lit(0).alias("level"), *(at(c, 0).alias(f"b{c}") for c in "xyz")).distinct()), "cubes")
-    levels = [r.level for r in level.select("level").distinct().collect()]
-    out = None
-    for k in levels:
-        side = reach * 2.0**k
-        near = points
-        for c in "xyz":
-            near = near.withColumn(f"b{c}", F.explode(F.sequence(F.floor((F.col(c) - reach) / side).cast("long"), F.floor((F.col(c) + reach) / side).cast("long"))))
-        near = near.join(level.where(F.col("level") == k), ["bx", "by", "bz"])
-        inner = (F.col("bx") == at("x", k)) & (F.col("by") == at("y", k)) & (F.col("bz") == at("z", k))
-        near = near.select("level", "bx", "by", "bz", inner.alias("inner"), *points.columns)
-        out = near if out is None else out.unionByName(near)
-    return out
-
-
 def _nearest_of_block(x: np.ndarray, inner: np.ndarray, k: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
     """(places of the k nearest of each inner point, by distance then place; whether all of them lie within reach)."""
     own, found, sure = x[inner], [], []
@@ -128,7 +80,7 @@ def neighbours(points: DataFrame, k: int, radius: float) -> DataFrame:
 
         asked = everything.join(todo.select("point_id", *"xyz", "ask").distinct(), ["point_id", *"xyz"], "left").withColumn("ask", F.coalesce("ask", F.lit(False))) if done is not None else todo
         keys = ["level", "bx", "by", "bz"]
-        dealt = _blocks(asked, reach).repartition(*keys).sortWithinPartitions(*keys)
+        dealt = blocks(asked, reach).repartition(*keys).sortWithinPartitions(*keys)
         found = stored(dealt.mapInArrow(search, f"point_id {kind}, x double, y double, z double, near array<struct<x:double,y:double,z:double>>, sure boolean"), "near")
         full = found.where("sure").drop("sure")
         done = full if done is None else done.unionByName(full)
@@ -201,16 +153,28 @@ def polygon_area(ring: Column) -> Column:
 
 
 def filled_polygons(polygons: DataFrame, size: float) -> DataFrame:
-    """(ix, iy, top): the highest polygon (ring of (x, y), height z) over the centre of each cell; even and odd crossings decide."""
+    """(ix, iy, top): the highest polygon (ring of (x, y), height z) over the centre of each cell; even and odd crossings decide.
+
+    An edge gives its crossing with each row of cell centres that it spans; sorted crossings of a polygon and row are
+    in and out in turn, so cells come as whole spans and none is tested.
+    """
     ring = F.col("ring")
-    low, high = {c: F.array_min(ring[c]) for c in "xy"}, {c: F.array_max(ring[c]) for c in "xy"}
-    span = lambda c: F.sequence(F.floor(low[c] / size), F.floor(high[c] / size))
-    cells = polygons.where(F.size(ring) >= 3).withColumn("ix", F.explode(span("x"))).withColumn("iy", F.explode(span("y")))
-    x, y = (F.col("ix") + 0.5) * size, (F.col("iy") + 0.5) * size
     following = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
-    crossed = F.zip_with(ring, following, lambda a, b: ((a["y"] > y) != (b["y"] > y)) & (x < a["x"] + F.try_divide((y - a["y"]) * (b["x"] - a["x"]), b["y"] - a["y"])))
-    inside = F.size(F.filter(crossed, lambda c: F.coalesce(c, F.lit(False)))) % 2 == 1
-    return cells.where(inside).groupBy("ix", "iy").agg(F.max("z").alias("top"))
+    numbered = polygons.where(F.size(ring) >= 3).withColumn("id", F.monotonically_increasing_id())
+    edges = numbered.select("id", "z", F.explode(F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("e"))
+    ax, ay, bx, by = (F.col(f"e.{p}.{c}") for p in "ab" for c in "xy")
+    first = lambda v: F.ceil(v / size - 0.5)  # noqa: E731  the first cell whose centre is at v or beyond
+    low, high = first(F.least(ay, by)), first(F.greatest(ay, by)) - 1
+    rows = edges.where(ay != by).select("id", "z", ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"), F.explode(F.when(low <= high, F.sequence(low, high))).alias("iy"))
+    y = (F.col("iy") + 0.5) * size
+    cross = rows.select("id", "z", "iy", (F.col("ax") + (y - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))).alias("x"))
+    n = cross.groupBy("id", "z", "iy").agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.collect_list("x").alias("all"))
+    two = n.where("n = 2").select("z", "iy", "x0", "x1")
+    turns = F.transform(F.sequence(F.lit(0), F.floor(F.col("n") / 2).cast("int") - 1), lambda i: F.struct(F.get(F.col("s"), 2 * i).alias("x0"), F.get(F.col("s"), 2 * i + 1).alias("x1")))
+    more = n.where("n > 2").withColumn("s", F.array_sort("all")).select("z", "iy", F.explode(turns).alias("t")).select("z", "iy", "t.x0", "t.x1")
+    left, right = first(F.col("x0")), first(F.col("x1")) - 1
+    cells = two.unionByName(more).select("iy", "z", F.explode(F.when(left <= right, F.sequence(left, right))).alias("ix"))
+    return cells.groupBy("ix", "iy").agg(F.max("z").alias("top"))
 
 
 def greedy_matches(pairs: DataFrame) -> DataFrame:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def project(x: Column, y: Column, z: Column, focal: float, width: int, height: int, k1: float = 0.0, k2: float = 0.0) -> tuple[Column, Column]:
-    """Pixel column and row of a point in camera axes; null where depth is 0."""
-    u, v = F.try_divide(x, z), F.try_divide(y, z)
-    r2 = u * u + v * v
-    bend = (1 + k1 * r2 + k2 * r2 * r2) * focal * max(width, height)
-    return bend * u + width / 2 - 0.5, bend * v + height / 2 - 0.5
+from ..sources.scratch import grouped, stored
 
 
 def visible(rows: DataFrame, cell: list[str], depth: str, share: float = 0.02, slack: float = 0.5) -> DataFrame:
@@ -40,17 +38,75 @@ def first_of_voxel(points: DataFrame, size: float) -> DataFrame:
     return points.withColumns({f"v{c}": F.floor(F.col(c) / size) for c in "xyz"}).groupBy("vx", "vy", "vz").agg(F.min_by(F.struct("point_id", *[c for c in points.columns if c != "point_id"]), "point_id").alias("p"), F.count("*").alias("n")).select("vx", "vy", "vz", "p.*", "n")
 
 
+def blocks(points: DataFrame, reach: float, most: int = 4000, top: int = 4) -> DataFrame:
+    """(level, bx, by, bz, inner, point columns): points in cubes of a side of reach times a power of two, with all that lie within reach of a cube.
+
+    A cube is halved while it holds more than `most` points and is larger than the reach, so dense places are dealt to many tasks. Counts
+    of the smallest cubes are taken once; larger ones are their sums.
+    """
+    keys = ["bx", "by", "bz"]
+    at = lambda c, level: F.floor(F.col(c) / (reach * 2.0**level)).cast("long")
+    small = stored(points.groupBy(*(at(c, 0).alias(f"b{c}") for c in "xyz")).agg(F.count("*").alias("n")), "cubes")
+    left, cubes = small.select(*(F.col(k).alias(f"s{k}") for k in keys), "n"), None
+    for level in range(top, 0, -1):
+        wide = left.withColumns({k: F.floor(F.col(f"s{k}") / 2**level).cast("long") for k in keys})
+        total = wide.groupBy(*keys).agg(F.sum("n").alias("total"))
+        calm = total.where(F.col("total") <= most).select(F.lit(level).alias("level"), *keys)
+        left = wide.join(total.where(F.col("total") > most).select(*keys), keys, "left_semi").select(*(f"s{k}" for k in keys), "n")
+        cubes = calm if cubes is None else cubes.unionByName(calm)
+    cubes = stored(cubes.unionByName(left.select(F.lit(0).alias("level"), *(F.col(f"s{k}").alias(k) for k in keys))), "cubes")
+    out = None
+    for level in [r.level for r in cubes.select("level").distinct().collect()] or [0]:
+        side, near = reach * 2.0**level, points
+        for c in "xyz":
+            near = near.withColumn(f"b{c}", F.explode(F.sequence(F.floor((F.col(c) - reach) / side).cast("long"), F.floor((F.col(c) + reach) / side).cast("long"))))
+        inner = (F.col("bx") == at("x", level)) & (F.col("by") == at("y", level)) & (F.col("bz") == at("z", level))
+        near = near.join(cubes.where(F.col("level") == level), keys).select("level", *keys, inner.alias("inner"), *points.columns)
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
+def _search(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
+    """(point_id, x, y, z, rx, ry, rz, d) of each left point: the nearest right point nearer than the radius, the first by place on ties, or nulls."""
+    kind = left.schema["point_id"].dataType
+    both = left.select("point_id", *"xyz", F.lit(True).alias("asks")).unionByName(right.select(F.lit(None).cast(kind).alias("point_id"), *"xyz", F.lit(False).alias("asks")))
+    keys = ["level", "bx", "by", "bz"]
+    dealt = blocks(both, radius).where("inner or not asks").drop("inner").repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, keys):
+            asks = t.column("asks").to_numpy(zero_copy_only=False)
+            if not asks.any():
+                continue
+            x = np.stack([t.column(c).to_numpy() for c in "xyz"], 1)
+            own, other = x[asks], x[~asks]
+            other = other[np.lexsort(other.T[::-1])]
+            found, dist = np.full(len(own), -1), np.full(len(own), np.inf)
+            step = max(1, 4_000_000 // max(1, len(other)))
+            for a in range(0, len(own) if len(other) else 0, step):
+                d = np.zeros((len(own[a : a + step]), len(other)))
+                for j in range(3):
+                    d += (own[a : a + step, j, None] - other[None, :, j]) ** 2
+                i = d.argmin(1)
+                r = np.sqrt(d[np.arange(len(i)), i])
+                near = r < radius
+                found[a : a + step], dist[a : a + step] = np.where(near, i, -1), np.where(near, r, np.inf)
+            hit = found >= 0
+            rows = t.filter(pa.array(asks)).select(["point_id", *"xyz"]).combine_chunks().to_batches()[0]
+            ends = [pa.array(np.where(hit, other[found, j] if len(other) else 0.0, 0.0), mask=~hit) for j in range(3)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *ends, pa.array(dist, mask=~hit)], names=["point_id", *"xyz", "rx", "ry", "rz", "d"])
+
+    return dealt.mapInArrow(run, f"point_id {kind.simpleString()}, x double, y double, z double, rx double, ry double, rz double, d double")
+
+
+def nearest_points(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
+    """(point_id, x, y, z, rx, ry, rz, d): the nearest right point nearer than the radius; rows without one are left out."""
+    return _search(left, right, radius).where("d is not null")
+
+
 def nearest_within(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
-    """(point_id, d): distance to the nearest right point nearer than the radius, through a grid of cells; null if none."""
-    cell = lambda c: F.floor(F.col(c) / radius)
-    a = left.select("point_id", *"xyz", *(cell(c).alias(f"c{c}") for c in "xyz"))
-    b = right.select(*(F.col(c).alias(f"r{c}") for c in "xyz"))
-    for c in "xyz":
-        b = b.withColumn(f"g{c}", F.explode(F.sequence(F.floor(F.col(f"r{c}") / radius) - 1, F.floor(F.col(f"r{c}") / radius) + 1)))
-    met = a.join(b, [F.col(f"c{c}") == F.col(f"g{c}") for c in "xyz"])
-    d = F.sqrt(sum(((F.col(c) - F.col(f"r{c}")) * (F.col(c) - F.col(f"r{c}")) for c in "yz"), (F.col("x") - F.col("rx")) * (F.col("x") - F.col("rx"))))
-    found = met.withColumn("d", d).where(F.col("d") < radius).groupBy("point_id").agg(F.min("d").alias("d"))
-    return left.select("point_id").join(found, "point_id", "left")
+    """(point_id, d): distance to the nearest right point nearer than the radius; null if none."""
+    return _search(left, right, radius).select("point_id", "d")
 
 
 def distance_stats(rows: DataFrame, d: str, *keys: str) -> DataFrame:
