@@ -1,13 +1,12 @@
-"""Suffix-array dedup: long repeated byte strings through a positional Burrows-Wheeler transform.
+"""Suffix-array dedup: long repeated byte strings through run-length indexes of positional Burrows-Wheeler transforms.
 
 1. Anchors. In every window of WINDOW bytes the smallest hash of GRAM bytes marks an anchor, so equal windows share one.
    Anchors that occur once are dropped by a distributed count; only the contexts of the others, once for each distinct
    context, go to an index.
-2. Index. Contexts that share an anchor are aligned at it. Their positional Burrows-Wheeler transform is built column by
-   column, with order and divergence of every row; runs only serve to take maxima, nothing is kept as runs or samples.
-   Copies of whole contexts are settled by their hashes.
-   Streaming the columns gives, for every context and end, the longest match with any other context (its matching
-   statistic); matches of WINDOW bytes or more are marked. A context that occurs twice matches itself.
+2. Index. Contexts that share an anchor are aligned at it, as equal windows share one. Their positional Burrows-Wheeler
+   transform is run-compressed: each column is kept as runs with divergences sampled at the runs' ends. The contexts are then
+   streamed through the runs, which gives for every context and end the longest match with any other context (its
+   matching statistic); matches of WINDOW bytes or more are marked. A context that occurs twice, as told by its hash, matches itself.
 3. Marks return to all occurrences and unite per document.
 
 Hot anchors, with more than HOT places, are split by the hash of the part that all windows of a narrow range
@@ -30,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import _BYTE, U64, mixed, passes, powers, stream_groups, text_buffer
 
 WINDOW, GRAM = 200, 64
-#: Distinct contexts of one anchor from which it is split, the narrow ranges, and contexts indexed at a time.
-HOT, RANGES, AT_ONCE = 20_000, 8, 24_000
+#: Places of one anchor from which it is split, the narrow ranges, and contexts indexed at a time.
+HOT, RANGES, AT_ONCE = 20_000, 8, 12_000
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -140,49 +139,62 @@ def _between(x: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class RunLengthIndex:
-    """The positional Burrows-Wheeler transform of aligned rows, streamed column by column."""
+    """The positional Burrows-Wheeler transform of aligned rows, kept as runs with samples at their ends.
 
-    def __init__(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pads: np.ndarray, width: int):
-        self.raw, self.starts, self.lengths, self.pads, self.width = raw, starts, lengths, pads, width
-        self.runs = 0
-
-    def column(self, k: int) -> np.ndarray:
-        """Symbols of column k; 256 stands for places outside of a row."""
-        at = k - self.pads
-        inside = (at >= 0) & (at < self.lengths)
-        out = np.full(len(self.starts), 256, np.uint16)
-        out[inside] = self.raw[self.starts[inside] + at[inside]]
-        return out
+    Of each column are kept, for each run: its first row, where that row goes in the next column, and two divergences there, of the run's first row
+    from the row above and of the row below the run's last one. A divergence is the column from which two neighbours are equal.
+    Inside of a run both neighbours go along, so their divergences stay; no order and no divergence of other rows is kept.
+    """
 
-    def matches(self, least: int) -> np.ndarray:
-        """[row, c]: the row's `least` bytes from column c on also stand there in another row."""
-        n = len(self.starts)
-        found = np.zeros((n, self.width - least + 1), bool)
-        order, since = np.arange(n), np.zeros(n, np.int32)
-        if n:
-            since[0] = 1
-        for k in range(self.width):
-            symbol = self.column(k)[order]
+    def __init__(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pads: np.ndarray, width: int):
+        self.n, self.width, self.columns, self.runs = len(starts), width, [], 0
+        order, since = np.arange(self.n, dtype=np.int32), np.zeros(self.n, np.int32)
+        since[:1] = 1
+        for k in range(width if self.n else 0):
+            at = k - pads
+            inside = (at >= 0) & (at < lengths)
+            symbol = np.full(self.n, 256, np.uint16)  # 256 stands for places outside of a row
+            symbol[inside] = raw[starts[inside] + at[inside]]
+            symbol = symbol[order]
             head = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
-            self.runs += len(head)
-            sampled = np.maximum.reduceat(since, head)  # of each run
+            size = np.diff(np.append(head, self.n))
+            most = np.maximum.reduceat(since, head)
             by = np.argsort(symbol[head], kind="stable")
             kind = symbol[head][by]
             same = np.flatnonzero(kind[1:] == kind[:-1])
-            value = np.full(len(head), k + 1, np.int32)  # first run of its symbol: nothing above matches
-            r, before = by[same + 1], by[same]
-            value[r] = np.maximum(_between(sampled, before + 1, r), since[head[r]])
-            since = since.copy()
-            since[head] = value
-            move = np.argsort(symbol, kind="stable")
-            order, since = order[move], since[move]
+            first, last = np.full(len(head), k + 1, np.int32), np.full(len(head), k + 1, np.int32)  # without another run of the symbol nothing matches
+            run, before = by[same + 1], by[same]
+            first[run] = np.maximum(_between(most, before + 1, run), since[head[run]])
+            last[before] = first[run]
+            to = np.empty(len(head), np.int64)
+            to[by] = np.cumsum(size[by]) - size[by]
+            self.columns.append((head.astype(np.int32), to.astype(np.int32), first, last))
+            self.runs += len(head)
+            since[head] = first
+            place = np.repeat(to - head, size) + np.arange(self.n)
+            moved, kept = np.empty_like(order), np.empty_like(since)
+            moved[place], kept[place] = order, since
+            order, since = moved, kept
+
+    def matches(self, least: int) -> np.ndarray:
+        """[row, c]: the row's `least` symbols from column c on also stand there in another row.
+
+        The rows are streamed through the runs; a row's state is its place and the divergences from the rows above and below, so at each
+        column the larger match is its matching statistic.
+        """
+        n = self.n
+        found = np.zeros((n, max(0, self.width - least + 1)), bool)
+        place, above, below = np.arange(n), np.zeros(n, np.int32), np.zeros(n, np.int32)
+        above[:1] = below[-1:] = 1
+        for k, (head, to, first, last) in enumerate(self.columns):
+            end = np.append(head[1:], n) - 1
+            run = np.repeat(np.arange(len(head)), end - head + 1)[place]
+            above = np.where(place == head[run], first[run], above)
+            below = np.where(place == end[run], last[run], below)
+            place = to[run] + place - head[run]
             c = k + 1 - least
             if c >= 0:
-                up = since <= c
-                up[0] = False
-                hit = up.copy()
-                hit[:-1] |= up[1:]
-                found[order[hit], c] = True
+                found[:, c] = np.minimum(above, below) <= c
         return found
 
 

@@ -233,6 +233,26 @@ def test_suffix_dedup_of_odd_rows(spark, texts):
     assert kept[0] is None and "\ufffd" not in kept[1] + kept[2]
 
 
+def test_run_length_index():
+    rng = np.random.default_rng(3)
+    for kinds, n in ((2, 60), (40, 60), (1, 5), (3, 1)):
+        rows = [bytes(rng.integers(97, 97 + kinds, 30).astype(np.uint8)) for _ in range(n)] + [b"x" * 12 + bytes(rng.integers(97, 100, 18).astype(np.uint8)) for _ in range(n)]
+        pads = rng.integers(0, 6, len(rows))
+        rows = [r[: int(rng.integers(8, 31))] for r in rows]
+        raw, lengths = np.frombuffer(b"".join(rows), np.uint8), np.array([len(r) for r in rows])
+        index = suffixes.RunLengthIndex(raw, np.cumsum(lengths) - lengths, lengths, pads, 40)
+        got = index.matches(7)
+        padded = [[None] * p + list(r) + [None] * (40 - p - len(r)) for p, r in zip(pads, rows)]
+        for c in range(34):
+            seen = collections.Counter(tuple(r[c : c + 7]) for r in padded)
+            assert got[:, c].tolist() == [seen[tuple(r[c : c + 7])] > 1 for r in padded]
+    same = np.frombuffer(b"a long line that is the same" * 500, np.uint8)
+    index = suffixes.RunLengthIndex(same, np.arange(500) * 28, np.full(500, 28), np.zeros(500, np.int64), 28)
+    assert index.runs == 28 and sum(len(h) for h, *_ in index.columns) == 28 and index.matches(28).all()
+    empty = np.zeros(0, np.int64)
+    assert suffixes.RunLengthIndex(np.zeros(0, np.uint8), empty, empty, empty, 10).matches(5).shape == (0, 6)
+
+
 # ---------------------------------------------------------------- 7
 
 
