@@ -211,3 +211,9 @@ def gap_points(cells: DataFrame, guessed: DataFrame, fitted: DataFrame) -> DataF
     met = cells.join(guessed, ["shot", "col", "row"]).join(F.broadcast(fitted.where("used")), "shot")
     depth = F.try_divide(F.lit(1.0), F.col("slope") * F.col("guess") + F.col("intercept"))
     return met.withColumn("depth", depth).where(F.col("depth").between(F.col("low"), F.col("high"))).select("shot", "col", "row", "depth")
+
+
+def measured(lines: DataFrame) -> DataFrame:
+    """Lines between two picked points (a and b of x, y, z) with their length and difference in height, to the centimetre."""
+    d = [F.col(f"a.{c}") - F.col(f"b.{c}") for c in "xyz"]
+    return lines.withColumns({"distance": F.round(F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]), 2), "height": F.round(F.abs(d[2]), 2)}).drop("a", "b")

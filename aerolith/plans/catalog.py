@@ -70,7 +70,67 @@ def query(sql: str | None = None):
     return add
 
 
-@query()
+def _ecef(lat: str, lon: str, alt: str) -> str:
+    n = f"(6378137.0e0 / sqrt(1 - 0.0066943799901413165e0 * sin(radians({lat})) * sin(radians({lat}))))"
+    return f"({n} + {alt}) * cos(radians({lat})) * cos(radians({lon})) as x, ({n} + {alt}) * cos(radians({lat})) * sin(radians({lon})) as y, ({n} * (1 - 0.0066943799901413165e0) + {alt}) * sin(radians({lat})) as z"
+
+
+_BY, _BY_I = "partition by flight_id order by t, seq", "partition by flight_id order by i"
+_METRICS = f"""f as ({FIXES}), o as (select flight_id, median(lat) as lat0, median(lon) as lon0, median(alt) as alt0 from f group by flight_id),
+c as (select flight_id, seq, t, {_ecef("lat", "lon", "alt")} from f), c0 as (select flight_id, lat0, lon0, {_ecef("lat0", "lon0", "alt0")} from o),
+tr as (select c.flight_id, seq, t, -sin(radians(lon0)) * (c.x - c0.x) + cos(radians(lon0)) * (c.y - c0.y) as e, -sin(radians(lat0)) * cos(radians(lon0)) * (c.x - c0.x) - sin(radians(lat0)) * sin(radians(lon0)) * (c.y - c0.y) + cos(radians(lat0)) * (c.z - c0.z) as n,
+ cos(radians(lat0)) * cos(radians(lon0)) * (c.x - c0.x) + cos(radians(lat0)) * sin(radians(lon0)) * (c.y - c0.y) + sin(radians(lat0)) * (c.z - c0.z) as u from c join c0 on c.flight_id = c0.flight_id),
+sd as (select flight_id, lead(e) over w - 2 * e + lag(e) over w as de, lead(n) over w - 2 * n + lag(n) over w as dn from tr window w as (partition by flight_id order by seq)),
+sm as (select flight_id, median(de) as me, median(dn) as mn, count(*) as k from sd group by flight_id),
+sg as (select sd.flight_id, case when any_value(k) < 5 then 0.0e0 else (median(abs(de - me)) + median(abs(dn - mn))) / 2 / (0.6745e0 * sqrt(6.0e0)) end as sigma from sd join sm on sd.flight_id = sm.flight_id group by sd.flight_id),
+nb as (select *, lag(e, 2) over w as e1, lag(e) over w as e2, lead(e) over w as e3, lead(e, 2) over w as e4, lag(n, 2) over w as n1, lag(n) over w as n2, lead(n) over w as n3, lead(n, 2) over w as n4, lag(u, 2) over w as u1, lag(u) over w as u2, lead(u) over w as u3, lead(u, 2) over w as u4 from tr window w as (partition by flight_id order by seq)),
+mk as (select nb.flight_id, seq, t, e, n, sigma, coalesce(sqrt(pow(e - list_median([e1, e2, e3, e4]), 2) + pow(n - list_median([n1, n2, n3, n4]), 2) + pow(u - list_median([u1, u2, u3, u4]), 2)) > greatest(15.0, 6.0 * sigma), false) and e1 is not null and e4 is not null as spike from nb join sg on nb.flight_id = sg.flight_id),
+sz as (select flight_id, count(*) as points, sum(case when spike then 1 else 0 end) as outliers, max(t) - min(t) as duration, any_value(sigma) as sigma from mk group by flight_id),
+cl as (select flight_id, t, e, n, sigma, row_number() over ({_BY}) - 1 as i from mk where not spike),
+sj as (select a.flight_id, a.t, a.e, a.n, min(b.t) as t2 from cl a join cl b on a.flight_id = b.flight_id and b.t >= a.t + 1.0 group by all),
+sp as (select sj.flight_id, avg(case when sqrt(pow(b.e - sj.e, 2) + pow(b.n - sj.n, 2)) > 30.0 * (t2 - sj.t) + 25.0 then 1.0e0 else 0.0e0 end) as discontinuous, max(sqrt(pow(b.e - sj.e, 2) + pow(b.n - sj.n, 2)) / (t2 - sj.t)) as max_speed from sj join cl b on b.flight_id = sj.flight_id and b.t = t2 group by sj.flight_id),
+dt as (select *, t - lag(t) over ({_BY_I}) as dt from cl), en as (select flight_id, count(*) as m, median(dt) as dt, max(t) - min(t) as span, min_by(e, i) as ae, min_by(n, i) as an, max_by(e, i) as be, max_by(n, i) as bn, any_value(sigma) as s from dt group by flight_id),
+st as (select flight_id, m, cast(case when m < 3 or s <= 0 or span <= 0 or dt <= 0 then 1 else greatest(1, least(round_even(6.0 * s / greatest(sqrt(pow(be - ae, 2) + pow(bn - an, 2)) / span * dt, 1e-9), 0), greatest(1, floor(m / 10)))) end as bigint) as stride from en),
+pk as (select st.flight_id, m, stride, stride // 2 as half, unnest(list_distinct(list_append(range(0, m, stride), m - 1))) as i from st),
+th as (select pk.flight_id, pk.i, case when any_value(pk.i = m - 1 and (m - 1) % stride <> 0) then max_by(cl.e, cl.i) filter (cl.i = m - 1) else avg(cl.e) end as e, case when any_value(pk.i = m - 1 and (m - 1) % stride <> 0) then max_by(cl.n, cl.i) filter (cl.i = m - 1) else avg(cl.n) end as n
+ from pk join cl on cl.flight_id = pk.flight_id and cl.i between pk.i - half and pk.i + half group by pk.flight_id, pk.i),
+ws as (select *, sqrt(pow(e - lag(e) over ({_BY_I}), 2) + pow(n - lag(n) over ({_BY_I}), 2)) as step from th), wk as (select *, sum(coalesce(step, 0)) over ({_BY_I}) as arc, row_number() over ({_BY_I}) - 1 as j from ws),
+s1 as (select flight_id, count(*) as thin, sum(step) as path, median(step) as mstep, min_by(e, i) as ae, min_by(n, i) as an, max_by(e, i) - min_by(e, i) as de, max_by(n, i) - min_by(n, i) as dn, var_pop(e) as vee, var_pop(n) as vnn, covar_pop(e, n) as ven from wk group by flight_id),
+s2 as (select *, sqrt(de * de + dn * dn) as displacement, atan2(2 * ven, vee - vnn) / 2 as angle, ((vee + vnn) / 2 + sqrt(pow((vee - vnn) / 2, 2) + ven * ven)) / greatest(vee + vnn, 1e-12) as straight, greatest(4.0, least(20.0, 0.02 * path)) as radius from s1),
+s3 as (select *, cos(angle) * de + sin(angle) * dn as al from s2),
+s4 as (select *, case when abs(al) < 1e-9 then case when cos(angle) < 0 or (cos(angle) = 0 and sin(angle) < 0) then -1.0e0 else 1.0e0 end when al < 0 then -1.0e0 else 1.0e0 end as flip, greatest(2 * radius, 0.05 * path) as away from s3),
+sh as (select *, cos(angle) * flip as ax, sin(angle) * flip as ay from s4),
+on1 as (select wk.flight_id, i, j, e, n, arc, radius, away, (e - ae) * ax + (n - an) * ay as along, abs((n - an) * ax - (e - ae) * ay) as side from wk join sh on wk.flight_id = sh.flight_id),
+go as (select *, along - lag(along) over ({_BY_I}) as d from on1),
+ax1 as (select flight_id, sum(greatest(d, 0)) as fw, sum(greatest(-d, 0)) as bw, quantile_cont(side, 0.9) as aside, max(along) - min(along) as reach from go group by flight_id),
+rv as (select g.flight_id, j, along as ext, 0 as dir, 0 as turns, greatest(5.0, 0.1 * reach) as eps from on1 g join ax1 a on a.flight_id = g.flight_id where j = 0
+ union all select g.flight_id, g.j, case when dir = 0 and abs(along - ext) >= eps then along when dir = 0 then ext when (along - ext) * dir > 0 then along when -(along - ext) * dir >= eps then along else ext end,
+ case when dir = 0 and abs(along - ext) >= eps then case when along > ext then 1 else -1 end when dir = 0 then 0 when (along - ext) * dir > 0 then dir when -(along - ext) * dir >= eps then -dir else dir end,
+ case when dir <> 0 and (along - ext) * dir <= 0 and -(along - ext) * dir >= eps then turns + 1 else turns end, eps from rv join on1 g on g.flight_id = rv.flight_id and g.j = rv.j + 1),
+rt as (select flight_id, max_by(turns, j) as reversals from rv group by flight_id),
+ht as (select a.flight_id, a.i, exists (select 1 from on1 b where b.flight_id = a.flight_id and b.arc <= a.arc - a.away and sqrt(pow(a.e - b.e, 2) + pow(a.n - b.n, 2)) <= a.radius) as hit from on1 a),
+ri as (select *, hit and not coalesce(lag(hit) over ({_BY_I}), false) as rise from ht), bk as (select flight_id, avg(case when hit then 1.0e0 else 0.0e0 end) as score, sum(case when rise then 1 else 0 end) as loops from ri group by flight_id),
+al as (select sz.flight_id, points, duration, outliers, sigma, coalesce(discontinuous, 0) as dc, max_speed, stride, thin, mstep, path, displacement, ax, ay, straight, aside, fw, bw, reversals, score, loops, points >= 8 and points - outliers >= 8 as judged from sz left join sp using (flight_id) left join st using (flight_id) left join sh using (flight_id) left join ax1 using (flight_id) left join rt using (flight_id) left join bk using (flight_id)),
+me as (select flight_id, cast(points as bigint) as points, round(duration, 2) as duration_s, cast(outliers as bigint) as gps_outliers_removed, sigma, round(dc, 3) as discontinuous_step_fraction, round(max_speed, 2) as max_speed_mps, case when judged then stride end as thinning_stride, case when judged then cast(thin as bigint) end as thinned_points, case when judged then round(mstep, 2) end as median_track_step_m, case when judged then round(path, 2) end as path_length_m, case when judged then round(displacement, 2) end as displacement_m,
+ case when judged then case when path > 0 then round(displacement / path, 3) else 0.0 end end as path_efficiency, judged and path >= 20 as long_, degrees(atan2(ax, ay)) as hd, straight, aside, fw, bw, reversals, score, loops from al),
+m as (select flight_id, points, duration_s, gps_outliers_removed, sigma, discontinuous_step_fraction, max_speed_mps, thinning_stride, thinned_points, median_track_step_m, path_length_m, displacement_m, path_efficiency, case when long_ then round(hd - 360 * floor(hd / 360), 1) end as dominant_heading_deg, case when long_ then round(straight, 3) end as straightness, case when long_ then round(aside, 2) end as lateral_deviation_m,
+ case when long_ then round(fw / greatest(fw + bw, 1e-9), 3) end as forward_fraction, case when long_ then cast(reversals as bigint) end as direction_reversals, case when long_ then round(score, 3) end as revisit_score, case when long_ then cast(loops as bigint) end as loop_closures from me)"""
+
+
+def _fired(*pairs: tuple[str, str]) -> str:
+    return "list_filter([" + ", ".join(f"case when {c} then '{name}' end" for c, name in pairs) + "], lambda x: x is not null)"
+
+
+_VERDICT = f"""with recursive {_METRICS}, v as (select *, case when points < 8 then 'too_few_positions' when points - gps_outliers_removed < 8 then 'nearly_all_outliers' when path_length_m < 20 then 'too_short' when discontinuous_step_fraction > 0.15 then 'not_continuous' end as early,
+{_fired(("path_efficiency < 0.15", "closed_loop"), ("revisit_score >= 0.6 and path_efficiency < 0.3", "re-covers_ground"), ("1 - forward_fraction >= 0.55", "repeated_passes"))} as hard,
+{_fired(("path_efficiency < 0.55", "weak_progress"), ("1 - forward_fraction > 0.2", "goes_backwards"), ("revisit_score > 0.25", "comes_back"), ("direction_reversals > 2", "turn_backs"))} as soft,
+{_fired(("path_length_m < 50", "short"), ("gps_outliers_removed >= greatest(3.0, 0.1 * points)", "spikes_removed"), ("points < 20", "few_positions"))} as weak, coalesce(sigma > 0 and median_track_step_m < 3.0 * sigma, false) as noisy from m),
+s as (select *, case when early is not null or (len(hard) + len(soft) > 0 and noisy) then 'unknown' when len(hard) > 0 then 'invalid' when len(soft) > 0 then 'suspicious' when len(weak) > 0 then 'valid_with_warning' else 'valid' end as status,
+ array_to_string(case when early is not null then [early] when len(hard) + len(soft) > 0 and noisy then ['jitter'] when len(hard) > 0 then hard when len(soft) > 0 then soft else weak end, ',') as reasons from v)
+select * exclude (early, hard, soft, weak, noisy, sigma), round(sigma, 2) as sigma, case when status in ('valid', 'valid_with_warning') then true when status in ('suspicious', 'invalid') then false end as single_pass from s"""
+
+
+@query(_VERDICT)
 def flight_validation(s, d):
     return flight.verdicts(flight.metrics(fixes(s, d)))
 

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from aerolith.plans import audits, catalog, footage, scenes, sites, surveys  # noqa: F401 (add their queries to the catalogue)
+from aerolith.plans import audits, catalog, footage, formats, scenes, sites, surveys  # noqa: F401 (add their queries to the catalogue)
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,7 +25,7 @@ def norm(v):
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "events", "lineitem", "nation", "supplier", "customer", "orders", "part"):
+    for t in ("documents", "events", "lineitem", "nation", "region", "supplier", "customer", "orders", "part"):
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     return con
 
