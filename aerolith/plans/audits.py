@@ -47,9 +47,9 @@ def run_validation(s, d):
     return v.withColumns({"reasons": F.array_join("reasons", ","), "warnings": F.array_join("warnings", ","), "trajectory_start": F.to_json("trajectory_start"), "trajectory_end": F.to_json("trajectory_end")})
 
 
-@query("select o_custkey as run, count(*) as stages, round(sum(o_totalprice), 1) as seconds, round(sum(o_totalprice) / 60, 1) as minutes from orders group by 1")
+@query("select o_custkey as run, count(*) as stages, round(sum(floor(o_totalprice)), 1) as seconds, round(sum(floor(o_totalprice)) / 60, 1) as minutes from orders group by 1")
 def stage_timings(s, d):
-    o = s.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("run"), F.col("o_orderkey").alias("stage"), F.col("o_totalprice").alias("seconds"))
+    o = s.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("run"), F.col("o_orderkey").alias("stage"), F.floor("o_totalprice").cast("double").alias("seconds"))
     return reports.timings(o)
 
 
@@ -89,7 +89,14 @@ def storage_targets(s, d):
     return storage.usage(storage.targets(_listed(s, d)), "run").drop("human")
 
 
-@query()
+def _human(x: str) -> str:
+    return f"case when {x} < 1024 then printf('%d B', {x}) when {x} < 1048576 then printf('%.1f KB', round_even({x} / 1024e0, 1)) when {x} < 1073741824 then printf('%.1f MB', round_even({x} / 1048576e0, 1)) else printf('%.2f GB', round_even({x} / 1073741824e0, 2)) end"
+
+
+@query(f"""{_USED}, v as (select g.run, target, cast(g.size as bigint) as size, cast(coalesce(u.b, 0) as bigint) as once, row_number() over (partition by g.run order by g.size desc, g.ord) as place from g left join u on u.run = g.run and u.ord = g.ord),
+w as (select run, cast(sum(size) as bigint) as a, cast(sum(once) as bigint) as o, count(*) as k from v group by run)
+select run, 0 as n, concat('Disk usage of ', run) as line from w union all select run, place, concat('  ', lpad({_human("size")}, 10, ' '), '  ', target) from v
+union all select run, k + 1, concat('Logical total: ', {_human("a")}, ' (', cast(a as varchar), ' bytes) in ', cast(k as varchar), ' entries') from w union all select run, k + 2, concat('Unique total: ', {_human("o")}, ' (', cast(o as varchar), ' bytes)') from w""")
 def storage_lines(s, d):
     return storage.usage_lines(storage.usage(storage.targets(_listed(s, d)), "run"))
 

@@ -392,15 +392,15 @@ def raster_components(s, d):
 _RESIDUE = "abs(slope * x + intercept - y)"
 
 
-def _line_rounds(rounds: int = 5) -> str:
-    out = [f"with d as (select cls, x, y from ({POINTS}) p)", "l1 as (select cls, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d group by cls)"]
+def _line_rounds(source: str, key: str, rounds: int = 5) -> str:
+    out = [f"d as ({source})", f"l1 as (select {key}, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d group by {key})"]
     for i in range(1, rounds):
-        out.append(f"q{i} as (select d.cls, slope, intercept, quantile_cont({_RESIDUE}, 0.8) as lim from d join l{i} on d.cls = l{i}.cls group by all)")
-        out.append(f"l{i + 1} as (select d.cls, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d join q{i} on d.cls = q{i}.cls where {_RESIDUE} <= lim group by d.cls)")
-    return ", ".join(out) + f" select cls, round(slope, 6) as slope, round(intercept, 6) as intercept from l{rounds}"
+        out.append(f"q{i} as (select d.{key}, slope, intercept, quantile_cont({_RESIDUE}, 0.8) as lim from d join l{i} on d.{key} = l{i}.{key} group by all)")
+        out.append(f"l{i + 1} as (select d.{key}, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept from d join q{i} on d.{key} = q{i}.{key} where {_RESIDUE} <= lim group by d.{key})")
+    return ", ".join(out)
 
 
-@query(_line_rounds())
+@query(f"with {_line_rounds(f'select cls, x, y from ({POINTS}) p', 'cls')} select cls, round(slope, 6) as slope, round(intercept, 6) as intercept from l5")
 def robust_lines(s, d):
     return fits.robust_line(cloud(s, d), "x", "y", "cls").select("cls", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 

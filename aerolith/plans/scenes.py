@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cameras as C
-from .catalog import POINTS, _bound, cloud, query, r6
+from .catalog import POINTS, _bound, _line_rounds, cloud, query, r6
 
 # One shot for each nation, every second one with the larger camera model.
 SHOTS = """select n_nationkey as shot, 0.013 * n_nationkey as rx, -0.02 * n_nationkey + 0.1 as ry, 0.03 * n_nationkey as rz, n_nationkey - 35.0 as tx, -40.0 - n_nationkey as ty, 30.0 + n_nationkey as tz,
@@ -177,7 +177,12 @@ def back_projection(s, d):
     return C.back_projected(cells, shots(s, d), 4).select("shot", "col", "row", *(F.round(c, 5).alias(c) for c in "xyz"))
 
 
-@query()
+_BOTH = "select n.shot, g.guess as x, 1 / n.depth as y, n.depth from n join g on g.shot = n.shot and g.col = n.col and g.row = n.row join many on many.shot = n.shot"
+
+
+@query(f"""with n as ({_NEAR}), g as ({_GUESS}), many as (select shot, quantile_cont(depth, 0.02) as low, quantile_cont(depth, 0.98) as high from n group by shot having count(*) >= 50), {_line_rounds(_BOTH, "shot")},
+off as (select d.shot, median(abs(1 / (slope * x + intercept) - depth) / depth) as error from d join l5 on l5.shot = d.shot where 1 / (slope * x + intercept) > 0 group by d.shot)
+select many.shot, round(slope, 6) as slope, round(intercept, 6) as intercept, round(coalesce(error, 1), 6) as error, round(low, 6) as low, round(high, 6) as high, coalesce(error, 1) <= 0.5 as used from many left join l5 on l5.shot = many.shot left join off on off.shot = many.shot""")
 def depth_fits(s, d):
     return C.depth_fits(_near(s, d), _guesses(s, d), 50, 0.5).select("shot", *(r6(c) for c in ("slope", "intercept", "error", "low", "high")), "used")
 
