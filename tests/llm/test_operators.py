@@ -465,3 +465,24 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_recall_of_near_duplicates_on_documents(spark):
+    """Every linked pair of the table's documents, by an inverted list of 5-grams, against the links that the bands find."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets, where = {}, collections.defaultdict(list)
+    for r in docs.collect():
+        w = words(r.text)
+        k = min(5, len(w))
+        sets[r.doc_id] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+        for g in sets[r.doc_id]:
+            where[g].append(r.doc_id)
+    shared = collections.Counter((a, b) for ids in where.values() if len(ids) > 1 for i, a in enumerate(ids) for b in ids[:i])
+    links = collections.Counter()
+    for (a, b), n in shared.items():
+        if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n):
+            links[a] += 1
+            links[b] += 1
+    got = {r.doc_id: r.n_links for r in jaccard.near_duplicates(docs).collect()}
+    assert sum(links.values()) > 100 and all(got[i] <= links[i] for i in got)
+    assert sum(got.values()) >= 0.999 * sum(links.values())
