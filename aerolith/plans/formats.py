@@ -18,7 +18,7 @@ _SRT = f"""select flight_id as file, seq, concat('{{n}}', cast(seq as varchar(20
 @query(f"select flight_id as file, seq, cast((seq // 60) * 3600 + (seq % 60) * 60 + 7 as double) + (seq % 10) / 10e0 + 0.05e0 as t, case seq % 3 when 0 then seq + 1.5e0 else seq + 0.125e0 end as lat, -81.25e0 as lon, case seq % 3 when 0 then 300.25e0 else 12.5e0 end as alt from ({FIXES}) f where seq % 3 < 2".replace("+ (seq % 10) / 10e0 + 0.05e0 as t", "+ (seq % 10) / 10e0 + 0.05e0 as t0").replace("cast((seq // 60)", "round(cast((seq // 60)").replace("0.05e0 as t0", "0.05e0, 3) as t"))
 def subtitle_fixes(s, d):
     blocks = fixes(s, d).select(F.col("flight_id").alias("file"), "seq", F.expr(_SRT.split("seq, ", 1)[1].rsplit(" as block", 1)[0].replace("seq // 60", "seq div 60").replace("{n}", "")).alias("block"))
-    return telemetry.subtitle_rows(blocks).withColumn("t", F.round("t", 3))
+    return telemetry.subtitle_rows(blocks, gps_order="lon_lat").withColumn("t", F.round("t", 3))  # these numbers go past 90 in either place
 
 
 _SRT = _SRT.replace("{n}", "")

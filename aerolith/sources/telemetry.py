@@ -21,16 +21,23 @@ def read_subtitles(spark: SparkSession, path: str) -> DataFrame:
     return subtitle_rows(raw.select("file", F.posexplode(F.split("v", r"\n\s*\n")).alias("seq", "block")))
 
 
-def subtitle_rows(blocks: DataFrame) -> DataFrame:
-    """Fixes from (file, seq, block); blocks without a time or position, or at (0, 0), are dropped."""
+def subtitle_rows(blocks: DataFrame, *, gps_order: str | None = None) -> DataFrame:
+    """Fixes from (file, seq, block); blocks without a time or position, or at (0, 0), are dropped.
+
+    GPS(a,b,..) is longitude and latitude, unless b is past 90, which only a longitude can be. Where the firmware's
+    order is known, gps_order "lon_lat" or "lat_lon" states it, and nothing is told from sizes.
+    """
+    if gps_order not in (None, "lon_lat", "lat_lon"):
+        raise ValueError(f"unknown order {gps_order}")
     b = F.col("block")
     stamp = r"(\d+):(\d+):(\d+)[,.](\d+)\s*-->"
     part = lambda i: F.nullif(F.regexp_extract(b, stamp, i), F.lit("")).cast("double")
     t = part(1) * 3600 + part(2) * 60 + part(3) + part(4) / F.pow(F.lit(10.0), F.length(F.regexp_extract(b, stamp, 4)))
     gps = r"(?i)GPS\s*\(\s*(-?\d+(?:\.\d+)?)\s*,\s*(-?\d+(?:\.\d+)?)"
     a, c = (F.nullif(F.regexp_extract(b, gps, i), F.lit("")).cast("double") for i in (1, 2))
-    lat = F.coalesce(_number(b, "latitude"), F.when(F.abs(c) > 90, a).otherwise(c))
-    lon = F.coalesce(_number(b, "longitude"), F.when(F.abs(c) > 90, c).otherwise(a))
+    turned = F.abs(c) > 90 if gps_order is None else F.lit(gps_order == "lat_lon")
+    lat = F.coalesce(_number(b, "latitude"), F.when(turned, a).otherwise(c))
+    lon = F.coalesce(_number(b, "longitude"), F.when(turned, c).otherwise(a))
     alt = F.coalesce(_number(b, "abs_alt"), _number(b, "BAROMETER"), _number(b, "rel_alt"), F.lit(0.0))
     rows = blocks.select("file", F.col("seq").cast("long").alias("seq"), t.alias("t"), lat.alias("lat"), lon.alias("lon"), alt.alias("alt"))
     return rows.where("t is not null and lat is not null and lon is not null and not (lat = 0 and lon = 0)")

@@ -47,6 +47,12 @@ def test_subtitles_round_trip(spark):
     assert len(got) == 2 and (got[1].lat, got[1].lon) == (41.2, 120.5) and got[0].alt == 3.5
 
 
+def test_subtitles_of_a_known_order(spark):
+    rows = spark.createDataFrame([("f", 0, "1\n00:00:01,500 --> x\nGPS(-81.25,91.125,9)")], "file string, seq long, block string")
+    got = lambda **k: [(r.lat, r.lon) for r in telemetry.subtitle_rows(rows, **k).collect()]
+    assert got(gps_order="lon_lat") == [(91.125, -81.25)] and got(gps_order="lat_lon") == got() == [(-81.25, 91.125)]
+
+
 def test_log_rows(spark):
     raw = spark.createDataFrame([("1000", "41.0", "-81.0", "x"), ("3000", "41.1", "-81.1", "7"), ("bad", "1", "1", "1"), ("5000", "0", "0", "1")], "time_ms string, latitude string, lon string, altitude string")
     got = telemetry.log_rows(raw).orderBy("t").collect()
