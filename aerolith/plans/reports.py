@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 from ..operators import tracks
 from . import flight
@@ -128,28 +132,55 @@ _CLAIMED = {
     "ai_classification": ("classified_cloud", {"labelled_share": "labelled_by_ai"}),
     "gap_filling": ("gap_filling", {"inferred_points": "inferred_points_added", "inferred_share": "inferred_share", "measured_points": "measured_points", "median_depth_fit_error": "median_depth_fit_error"}),
 }
+_FLOWN = ("single_pass", "path_efficiency", "revisit_score", "direction_reversals", "trajectory_source", "policy", "overridden", "warnings")
+_FUSED = {"gps_fusion_quality": "quality", "median_horizontal_gps_std_m": "median_h_std_m", "fusion_fallback_used": "fallback_used"}
 REFERENCES = ("accuracy_vs_lidar", "accuracy_vs_buildings", "accuracy_camera_positions")
 
 
+class _Number(str):
+    pass
+
+
+@F.pandas_udf(MapType(StringType(), StringType()))
+def _numbers(reports: pd.Series) -> pd.Series:
+    """Numbers of the parts of reports, as part.name, in the report's own digits."""
+    def of(text: str | None) -> dict[str, str]:
+        try:
+            report = json.loads(text if isinstance(text, str) else "{}", parse_float=_Number, parse_int=_Number)
+        except (ValueError, RecursionError):
+            return {}
+        parts = report.items() if isinstance(report, dict) else ()
+        return {f"{part}.{name}": str(v) for part, values in parts if isinstance(values, dict) for name, v in values.items() if isinstance(v, _Number)}
+
+    return reports.map(of)
+
+
 def quality_summary(runs: DataFrame, key: str = "run") -> DataFrame:
     """(key, claim, status, facts) of runs' reports (key, report: JSON text): six claims, each from its own part; what was not run says so.
 
-    facts maps names to JSON text, null where the report has no number: nothing is worked out or filled in here.
+    facts maps names to JSON text, null where the report has no number: nothing is worked out or filled in here. Numbers
+    stay as the report writes them (0.10, 1e3), of which get_json_object would make 0.1 and 1000.0.
     """
     at = lambda path: F.get_json_object("report", f"$.{path}")
+    runs = runs.select(key, "report", _numbers("report").alias("written"))
+
+    def fact(part: str, name: str) -> Column:
+        text, exact = at(f"{part}.{name}"), F.try_element_at("written", F.lit(f"{part}.{name}"))
+        return F.when(text.try_cast("double") == exact.try_cast("double"), exact).otherwise(text)
+
     there = lambda path: at(path).isNotNull() & ~at(path).isin("", "{}", "[]", "null", "false", "0")
     ok = F.coalesce(at("reconstruction.ok") == "true", F.lit(False))
     tried = F.coalesce(at("reconstruction.attempted") == "true", F.lit(False))
     facts = lambda **k: F.create_map(*(x for name, v in k.items() for x in (F.lit(name), v)))
     truth = F.coalesce(*(F.when(there(r), at(r)) for r in REFERENCES))
-    gps = {"gps_fusion_quality": at("gps_fusion.quality"), "median_horizontal_gps_std_m": at("gps_fusion.median_h_std_m"), "fusion_fallback_used": at("gps_fusion.fallback_used"), "accuracy_vs_reference": truth}
+    gps = {k: fact("gps_fusion", v) for k, v in _FUSED.items()} | {"accuracy_vs_reference": truth}
     claims = [
-        ("reconstruction", F.when(ok, "success").when(tried, "failed").otherwise("not_attempted"), facts(attempts=at("reconstruction.attempts"), outputs=F.when(there("outputs"), F.to_json(F.array_sort(F.json_object_keys(at("outputs"))))))),
-        ("single_pass", F.coalesce(at("flight_validation.status"), F.lit("unknown")), facts(**{c: at(f"flight_validation.{c}") for c in ("single_pass", "path_efficiency", "revisit_score", "direction_reversals", "trajectory_source", "policy", "overridden", "warnings")})),
+        ("reconstruction", F.when(ok, "success").when(tried, "failed").otherwise("not_attempted"), facts(attempts=fact("reconstruction", "attempts"), outputs=F.when(there("outputs"), F.to_json(F.array_sort(F.json_object_keys(at("outputs"))))))),
+        ("single_pass", F.coalesce(at("flight_validation.status"), F.lit("unknown")), facts(**{c: fact("flight_validation", c) for c in _FLOWN})),
         ("georeferencing", F.when(truth.isNotNull(), "measured_against_reference").when(ok, "gps_anchored_no_independent_reference").otherwise("not_run"), facts(**gps)),
     ]
     for claim, (part, columns) in _CLAIMED.items():
         other = F.when(ok, "measured_not_classified").otherwise("not_run") if claim == "point_cloud" else F.lit("not_run")
-        claims.append((claim, F.when(there(part), "measured").otherwise(other), facts(**{k: at(f"{part}.{v}") for k, v in columns.items()})))
+        claims.append((claim, F.when(there(part), "measured").otherwise(other), facts(**{k: fact(part, v) for k, v in columns.items()})))
     rows = F.array(*(F.struct(F.lit(n).alias("claim"), s.alias("status"), f.cast("map<string,string>").alias("facts")) for n, s, f in claims))
     return runs.select(key, F.inline(rows))

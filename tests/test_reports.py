@@ -234,3 +234,14 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame(side, "point_id long, x double, y double, z double").write.parquet(f"file://{tmp_path}/a.parquet")
     assert main(["evaluate", f"file://{tmp_path}/a.parquet", f"file://{tmp_path}/a.parquet"], spark) == 0
     assert json.loads(capsys.readouterr().out.split("bytes)\n")[-1].split("bytes\n")[-1])["as_georeferenced"]["median_m"] == 0.0
+
+
+def test_quality_summary_keeps_numbers_as_written(spark):
+    text = '{"flight_validation":{"status":"ok","path_efficiency":0.10,"revisit_score":"0.50","policy":{"a":1.50},"overridden":true,"warnings":[1.0, 2]},"reconstruction":{"ok":true,"attempts":1e3},"gps_fusion":{"median_h_std_m":-2.00}}'
+    rows = spark.createDataFrame([("a", text), ("b", '{"flight_validation":3,"reconstruction":{"attempts":2'), ("c", "[1.0]")], "run string, report string")
+    got = {(r.run, r.claim): r.facts for r in reports.quality_summary(rows).collect()}
+    flown = got["a", "single_pass"]
+    assert (flown["path_efficiency"], flown["revisit_score"], flown["overridden"], flown["single_pass"]) == ("0.10", "0.50", "true", None)
+    assert json.loads(flown["policy"]) == {"a": 1.5} and json.loads(flown["warnings"]) == [1.0, 2]
+    assert got["a", "reconstruction"]["attempts"] == "1e3" and got["a", "georeferencing"]["median_horizontal_gps_std_m"] == "-2.00"
+    assert got["b", "single_pass"]["path_efficiency"] is None and got["c", "reconstruction"]["attempts"] is None
