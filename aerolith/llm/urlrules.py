@@ -6,10 +6,12 @@ part of their antecedent is as sure. A rule is filed in an inverted index under
 rules filed under one of their own tokens.
 
 Before the mining, tokens go that can be in no such rule but alone: those below the support among bad urls, and those that are bad
-always, whose rule is filed at once as no wider one is surer. Tokens that occur in the very same urls are one. Of what is
-left, FP-growth sees the MOST surest tokens of a url, so the item sets of a url are bounded by 2^MOST; rules over more mixed
-tokens than that are not mined. Frequent tokens are at most (tokens of a url / support) many, and rules at most MOST_RULES
-before the index is broadcast; more rules are matched by a join on their token.
+always, whose rule is filed at once as no wider one is surer. Tokens that occur in the very same urls are one. All that is
+left is mined, however many tokens a url has: FP-growth deals each token's conditional base, the distinct sets of more frequent
+tokens beside it, to a task, and grows sets from it. A set isn't grown where no wider one can stay: below the support, when all its
+urls are bad, or when a token is in all urls of the rest, as the rest alone is as sure then. The time still grows with the number of
+sets that are left. Frequent tokens are at most (tokens of a url / support) many, and rules at most MOST_RULES before the index is
+broadcast; more rules are matched by a join on their token.
 
 Labels are of documents and are joined to pages by equal number, as both tables count the same crawl: page n is the source of document n.
 
@@ -21,7 +23,9 @@ ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +33,7 @@ from .common import stored
 
 #: (host, path, verdict)
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
-BAD = "label=bad"
-MOST, MOST_RULES = 12, 100_000
+MOST_RULES = 100_000
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,10 +62,37 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(parts(host, r"\.", "h:"), parts(F.regexp_replace(path, r"\d+", "#"), "/", "p:"), keys))
 
 
-def mined_rules(transactions: DataFrame, *, least_support: float = 0.0005, least_rows: int = 5, least_confidence: float = 0.6, least_lift: float = 1.2, most: int = MOST) -> DataFrame | None:
+def sure_sets(own: tuple, base: list[tuple[tuple, int, int]], least: int, confident: float, best: float = 0.0) -> Iterator[tuple[tuple, int, int]]:
+    """(tokens, urls, bad urls) of the sets that hold own and tokens of its base (tokens, urls, bad urls), with `least` bad urls and the
+    confidence, and surer than every set they were grown from."""
+    n, bad = sum(r[1] for r in base), sum(r[2] for r in base)
+    if bad < least:
+        return
+    if bad / n >= confident and bad / n > best:
+        yield own, n, bad
+    if bad == n:
+        return
+    best = max(best, bad / n)
+    sums: dict[str, list[int]] = {}
+    for tokens, m, b in base:
+        for token in tokens:
+            s = sums.setdefault(token, [0, 0])
+            s[0] += m
+            s[1] += b
+    free = {token for token, (m, b) in sums.items() if b >= least and m < n}
+    conditional: dict[str, dict[tuple, list[int]]] = {}
+    for tokens, m, b in base:
+        kept = tuple(token for token in tokens if token in free)
+        for i, token in enumerate(kept):
+            s = conditional.setdefault(token, {}).setdefault(kept[:i], [0, 0])
+            s[0] += m
+            s[1] += b
+    for token, rows in conditional.items():
+        yield from sure_sets((*own, token), [(tokens, m, b) for tokens, (m, b) in rows.items()], least, confident, best)
+
+
+def mined_rules(transactions: DataFrame, *, least_support: float = 0.0005, least_rows: int = 5, least_confidence: float = 0.6, least_lift: float = 1.2) -> DataFrame | None:
     """(rule_id, tokens, key, confidence, support) from transactions (items, bad); None where nothing can be mined."""
-    from pyspark.ml.fpm import FPGrowth
-
     counts = transactions.agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("int")).alias("bad")).first()
     if not counts.n or not counts.bad:
         return None
@@ -74,12 +104,19 @@ def mined_rules(transactions: DataFrame, *, least_support: float = 0.0005, least
     sure = tokens.where(F.col("bad") >= least).withColumn("confidence", F.col("bad") / F.col("freq"))
     sure = stored(sure.groupBy("freq", "bad", "x1", "x2", "confidence").agg(F.min("token").alias("token")), "tokens")
     pure = sure.where((F.col("bad") == F.col("freq")) & (F.lit(n / counts.bad) >= least_lift)).select(F.array("token").alias("tokens"), F.lit(1.0).alias("confidence"), (F.col("bad") / n).alias("support"))
-    mixed = sure.where(F.col("bad") < F.col("freq")).select("token", F.col("confidence").alias("c"))
-    left = rows.select("row", "bad", F.explode_outer("items").alias("token")).join(F.broadcast(mixed), "token", "left").groupBy("row", "bad").agg(F.array_sort(F.collect_list(F.when(F.col("c").isNotNull(), F.struct((-F.col("c")).alias("c"), "token")))).alias("some"))
-    kept = F.transform(F.slice("some", 1, most), lambda x: x["token"])
-    baskets = left.select(F.when(F.col("bad"), F.array_append(kept, F.lit(BAD))).otherwise(kept).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(baskets)
-    rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= least_lift)).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    mixed = sure.where(F.col("bad") < F.col("freq")).select("token", "freq")
+    left = rows.select("row", "bad", F.explode("items").alias("token")).join(F.broadcast(mixed) if mixed.count() <= MOST_RULES else mixed, "token").groupBy("row", "bad").agg(F.array_sort(F.collect_list(F.struct((-F.col("freq")).alias("f"), "token"))).alias("some"))
+    baskets = left.groupBy(F.transform("some", lambda x: x["token"]).alias("some")).agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    ends = baskets.select("n", "bad", "some", F.posexplode("some").alias("at", "item")).groupBy("item", F.slice("some", 1, F.col("at")).alias("before")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    share = counts.bad / n
+    confident = max(least_confidence, least_lift * share) * (1 - 1e-12)
+
+    def grow(t: pd.DataFrame) -> pd.DataFrame:
+        base = list(zip(map(tuple, t["before"]), t["n"].tolist(), t["bad"].tolist()))
+        found = [(list(x), b / m, b / n) for x, m, b in sure_sets((t["item"].iloc[0],), base, least, confident) if b / m >= least_confidence and b / m / share >= least_lift]
+        return pd.DataFrame(found, columns=["tokens", "confidence", "support"])
+
+    rules = ends.groupBy("item").applyInPandas(grow, "tokens array<string>, confidence double, support double").withColumn("tokens", F.array_sort("tokens"))
     plain = lambda t: F.replace(F.replace(t, F.lit("%"), F.lit("%25")), F.lit(" "), F.lit("%20"))
     filed = stored(rules.unionByName(pure).withColumn("rule_id", F.array_join(F.transform("tokens", plain), " ")), "rules")
     rare = filed.select("rule_id", F.explode("tokens").alias("token")).join(sure.select("token", "freq"), "token").groupBy("rule_id").agg(F.min_by("token", F.struct("freq", "token")).alias("key"))

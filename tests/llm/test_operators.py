@@ -437,6 +437,20 @@ def test_mined_rules_equal_brute_force(spark):
     assert all(" " not in t for r in got for t in r.rule_id.split(" ")) and any("x%20y" in r.rule_id for r in got)
 
 
+def test_rules_over_all_tokens_of_a_url(spark):
+    # 14 tokens are surer than x and y, which are bad only together
+    rows = []
+    for i in range(600):
+        both, one = i % 6 == 0, i % 6 in (1, 2)
+        bad = both or i % 4 == 0 and not one
+        noise = [f"t{j}" for j in range(14) if bad and (both or (i * 7 + j * 13) % 3) or i % 97 == j]
+        rows.append((noise + (["x", "y"] if both else ["x"] if i % 6 == 1 else ["y"] if i % 6 == 2 else []), bad))
+    got = urlrules.mined_rules(spark.createDataFrame(rows, "items array<string>, bad boolean"), least_support=0.1).collect()
+    assert sum(len(items) > 13 for items, _ in rows) > 90
+    pair = [r for r in got if set(r.tokens) == {"x", "y"}]
+    assert len(pair) == 1 and (pair[0].confidence, round(pair[0].support, 6)) == (1.0, round(100 / 600, 6))
+
+
 def test_long_urls_are_mined_in_bounded_time(spark):
     rng = random.Random(3)
     urls = ["http://a.test/" + "/".join(f"s{i}" for i in range(40)) + "?" + "&".join(f"k{i}=1" for i in range(40))] * 6
