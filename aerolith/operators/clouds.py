@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import grouped, stored
 from .fits import similarity_fit
-from .points import blocks, nearest_points
+from .points import blocks, distinct_rows, first_reach, nearest_in_cells, nearest_points
 
 
 def icp(cloud: DataFrame, ref: DataFrame, *, levels: tuple[float, ...] = (8.0, 4.0, 2.0, 1.0, 0.5), rounds: int = 8, least: int = 1000, scaled: bool = False) -> tuple[float, np.ndarray, np.ndarray]:
@@ -32,83 +31,78 @@ def icp(cloud: DataFrame, ref: DataFrame, *, levels: tuple[float, ...] = (8.0, 4
     return scale, rot, shift
 
 
-def _nearest_of_block(x: np.ndarray, inner: np.ndarray, k: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the k nearest of each inner point, by distance then place; whether all of them lie within reach)."""
-    own, found, sure = x[inner], [], []
-    for a in range(0, len(own), max(1, 4_000_000 // max(1, len(x)))):
-        part = own[a : a + max(1, 4_000_000 // max(1, len(x)))]
-        d = np.zeros((len(part), len(x)))
-        for j in range(3):
-            d += (part[:, j, None] - x[None, :, j]) ** 2
-        m = min(k, len(x))
-        low = np.partition(d, m - 1, axis=1)[:, m - 1]
-        row, col = np.nonzero(d <= low[:, None])
-        order = np.lexsort((col, d[row, col], row))
-        row, col = row[order], col[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        found.append(col[rank < m].reshape(len(part), m))
-        sure.append((low <= reach * reach) if m == k else np.zeros(len(part), bool))
-    return np.concatenate(found), np.concatenate(sure)
+_NEAR = "array<struct<x:double,y:double,z:double>>"
 
 
-def neighbours(points: DataFrame, k: int, radius: float) -> DataFrame:
-    """(point_id, x, y, z, near): the k nearest points, itself included, ties by id; fewer only where the cloud is smaller.
+def _around(points: DataFrame, k: int, radius: float, finish: Callable[[np.ndarray], list[pa.Array]], columns: str) -> tuple[DataFrame, DataFrame]:
+    """(point_id, x, y, z and the columns that `finish` makes of the coordinates of the k nearest of each point; the points left out).
 
-    Cubes with all points around them are searched one by one; a point whose k nearest don't all lie within the radius
-    goes to the next round, with twice the radius.
+    Of equal places only the k lowest ids can be near to anything. Further points of such a place are left out: their k nearest
+    are the place itself, k times. The first round has a reach that suits the density; points whose k nearest don't all lie within it
+    go on with twice the reach, and only cubes with such points are looked at again. Points without a place are near to nothing.
     """
-    everything = stored(points.select("point_id", *"xyz"), "points")
-    todo, done, k = everything.withColumn("ask", F.lit(True)), None, min(k, everything.count())
-    if not k:
-        return everything.withColumn("near", F.array().cast("array<struct<x:double,y:double,z:double>>"))
     kind = points.schema["point_id"].dataType.simpleString()
+    spark, keys = points.sparkSession, ["level", "bx", "by", "bz"]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    nth = F.row_number().over(Window.partitionBy(*"xyz").orderBy("point_id"))
+    placed = points.select("point_id", *"xyz").where(" and ".join(f"{c} is not null and not isnan({c})" for c in "xyz"))
+    numbered = stored(placed.withColumn("nth", nth), "points")
+    near, more = numbered.where(F.col("nth") <= k).drop("nth"), numbered.where(F.col("nth") > k).drop("nth")
+    k = min(k, near.count())
+    todo, done, reach = near, None, first_reach(near, radius, max(k, 1))
     while True:
-        reach = radius
 
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for t in grouped(batches, ["level", "bx", "by", "bz"]):
-                t = t.sort_by("point_id")
+        def search(batches: Iterator[pa.RecordBatch], reach=reach) -> Iterator[pa.RecordBatch]:
+            for t in grouped(batches, keys):
+                t = t.sort_by([(c, "ascending") for c in ("point_id", *"xyz")])
                 x = np.stack([t.column(c).to_numpy() for c in "xyz"], 1)
-                ask = t.column("inner").to_numpy(zero_copy_only=False) & t.column("ask").to_numpy(zero_copy_only=False)
+                ask = t.column("asks").to_numpy(zero_copy_only=False)
                 if not ask.any():
                     continue
-                near, sure = _nearest_of_block(x, ask, k, reach)
-                own = t.filter(pa.array(ask)).select(["point_id", *"xyz"]).combine_chunks().to_batches()[0]
-                flat = pa.StructArray.from_arrays([pa.array(x[near.ravel(), j]) for j in range(3)], list("xyz"))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([*own.columns, lists, pa.array(sure)], names=["point_id", *"xyz", "near", "sure"])
-
-        asked = everything.join(todo.select("point_id", *"xyz", "ask").distinct(), ["point_id", *"xyz"], "left").withColumn("ask", F.coalesce("ask", F.lit(False))) if done is not None else todo
-        keys = ["level", "bx", "by", "bz"]
-        dealt = blocks(asked, reach).repartition(*keys).sortWithinPartitions(*keys)
-        found = stored(dealt.mapInArrow(search, f"point_id {kind}, x double, y double, z double, near array<struct<x:double,y:double,z:double>>, sure boolean"), "near")
+                # a point that asks is there a second time, as one that is found
+                own, other = t.filter(pa.array(ask)).select(["point_id", *"xyz"]), x[~ask]
+                once, back = distinct_rows(x[ask])
+                found, sure = nearest_in_cells(other, np.arange(len(other)), x[ask][once], k, reach)
+                made = finish(other[found[back]] if len(other) else np.zeros((len(back), k, 3)))
+                yield pa.RecordBatch.from_arrays([*own.combine_chunks().to_batches()[0].columns, *made, pa.array(sure[back])], names=[*own.column_names, *(c.split()[0] for c in columns.split(", ")), "sure"])
+
+        both = todo.withColumn("asks", F.lit(True)).unionByName(near.withColumn("asks", F.lit(False)))
+        dealt = blocks(both, reach * (1 + 1e-9), 16_000, 8, "asks", tasks).drop("inner").sortWithinPartitions(*keys)
+        found = stored(dealt.mapInArrow(search, f"point_id {kind}, x double, y double, z double, {columns}, sure boolean"), "near")
         full = found.where("sure").drop("sure")
         done = full if done is None else done.unionByName(full)
-        todo = found.where("not sure").select("point_id", *"xyz").withColumn("ask", F.lit(True))
+        todo = found.where("not sure").select("point_id", *"xyz")
         if todo.isEmpty():
-            return done
-        radius *= 2
+            return done, more
+        reach *= 2
+
+
+def neighbours(points: DataFrame, k: int, radius: float) -> DataFrame:
+    """(point_id, x, y, z, near): the k nearest points, itself included, ties by id; fewer only where the cloud is smaller."""
+
+    def lists(near: np.ndarray) -> list[pa.Array]:
+        flat = pa.StructArray.from_arrays([pa.array(near[:, :, j].ravel()) for j in range(3)], list("xyz"))
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1, dtype=np.int32) * near.shape[1]), flat)]
+
+    found, more = _around(points, k, radius, lists, f"near {_NEAR.replace(', ', ',')}")
+    return found.unionByName(more.withColumn("near", F.array_repeat(F.struct(*"xyz"), k).cast(_NEAR)))
 
 
 def normals(points: DataFrame, k: int = 16, radius: float = 1.0) -> DataFrame:
     """(point_id, nx, ny, nz, flatness): least axis of each neighbourhood, and its share of the spread; null where there is no spread."""
-    pairs = [(a, b) for i, a in enumerate("xyz") for b in "xyz"[i:]]
-    near = neighbours(points, k, radius).withColumn("p", F.explode("near"))
-    sums = near.groupBy("point_id", *(F.col(c).alias(f"o{c}") for c in "xyz")).agg(*(F.covar_pop(F.col(f"p.{a}"), F.col(f"p.{b}")).alias(a + b) for a, b in pairs))
-
-    def eigen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            m = np.empty((len(b), 3, 3))
-            for p, q in pairs:
-                i, j = "xyz".index(p), "xyz".index(q)
-                m[:, i, j] = m[:, j, i] = b[p + q]
-            size, axes = np.linalg.eigh(m)
-            total = size.sum(1)
-            out = pd.DataFrame({"point_id": b["point_id"], "nx": axes[:, 0, 0], "ny": axes[:, 1, 0], "nz": axes[:, 2, 0], "flatness": size[:, 0] / np.where(total > 0, total, 1.0)})
-            out.loc[total <= 0, ["nx", "ny", "nz", "flatness"]] = None
-            yield out
-
-    return sums.mapInPandas(eigen, f"point_id {points.schema['point_id'].dataType.simpleString()}, nx double, ny double, nz double, flatness double")
+
+    def eigen(near: np.ndarray) -> list[pa.Array]:
+        off = near - near.mean(1, keepdims=True) if near.shape[1] else near
+        spread = np.einsum("nki,nkj->nij", off, off) / max(1, near.shape[1])
+        size, axes = np.linalg.eigh(spread)
+        total = size.sum(1)
+        none = (near == near[:, :1]).all((1, 2)) | (total <= 0)
+        flat = size[:, 0] / np.where(total > 0, total, 1.0)
+        return [pa.array(np.ascontiguousarray(c), mask=none) for c in (axes[:, 0, 0], axes[:, 1, 0], axes[:, 2, 0], flat)]
+
+    names = ("nx", "ny", "nz", "flatness")
+    found, more = _around(points, k, radius, eigen, ", ".join(f"{c} double" for c in names))
+    return found.select("point_id", *names).unionByName(more.select("point_id", *(F.lit(None).cast("double").alias(c) for c in names)))
 
 
 def gap_filled(measured: DataFrame, offered: DataFrame, *, voxel: float = 0.15, least: float = 0.15, most: float = 1.5, share: float = 0.15) -> DataFrame:

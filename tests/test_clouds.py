@@ -31,6 +31,16 @@ def test_normals_of_copies_and_of_nothing(spark):
     assert clouds.normals(frame(spark, []), 3, 1.0).count() == 0
 
 
+def test_neighbours_of_copies(spark):
+    xyz = [(0.0, 0.0, 0.0)] * 2 + [(1.0, 0.0, 0.0)] * 2000 + [(3.0, 0.0, 0.0)]
+    got = clouds.neighbours(frame(spark, xyz), 4, 2.0).collect()
+    assert len(got) == len(xyz)
+    at = {}
+    for r in got:
+        at.setdefault(r.x, []).append([p.x for p in r.near])
+    assert at[0.0] == [[0.0, 0.0, 1.0, 1.0]] * 2 and at[1.0] == [[1.0] * 4] * 2000 and at[3.0] == [[3.0, 1.0, 1.0, 1.0]]
+
+
 def test_icp(spark):
     src = np.random.default_rng(3).uniform(0, 20, (200, 3))
     a = math.radians(0.4)
